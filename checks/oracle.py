@@ -617,7 +617,7 @@ SELECTS = {
         sum(customer_tenure_days)::DOUBLE / count(*) AS avg_tenure_days FROM v_features""",
     "churn_label_distribution": "SELECT is_churned, count(*) AS count FROM v_features GROUP BY 1",
     "clv_features": "SELECT * FROM v_clv",
-    "clv_distribution": """SELECT clv_tier, count(*) AS customer_count, round(avg(predicted_clv_3yr), 4) AS avg_clv,
+    "clv_distribution": """SELECT clv_tier, count(*) AS customer_count, sum(predicted_clv_3yr::DECIMAL(28,6))::DOUBLE / count(*) AS avg_clv,
         sum(historical_revenue::DECIMAL(28,4))::DOUBLE AS total_revenue FROM v_clv GROUP BY 1""",
     "clv_training_set": """SELECT c.customer_id, historical_revenue::DOUBLE AS historical_revenue,
         avg_transaction_revenue, purchase_count::DOUBLE AS purchase_count, purchase_frequency_monthly,
@@ -661,8 +661,10 @@ SELECTS = {
         round(avg(total_revenue), 2) AS avg_revenue, round(avg(days_since_last_purchase), 2) AS avg_recency,
         round(avg(return_rate), 4) AS avg_return_rate FROM v_assigned GROUP BY 1""",
     "segment_names": "SELECT customer_id, cluster, segment_name FROM v_named",
-    "segment_profile": """SELECT segment_name, count(*) AS count, round(avg(total_revenue), 4) AS avg_revenue,
-        round(avg(total_transactions), 4) AS avg_transactions, round(avg(days_since_last_purchase), 4) AS avg_recency
+    "segment_profile": """SELECT segment_name, count(*) AS count,
+        sum(total_revenue::DECIMAL(28,6))::DOUBLE / count(*) AS avg_revenue,
+        sum(total_transactions::DECIMAL(28,6))::DOUBLE / count(*) AS avg_transactions,
+        sum(days_since_last_purchase::DECIMAL(28,6))::DOUBLE / count(*) AS avg_recency
         FROM v_named GROUP BY 1""",
     "forecast_trend_dow": "SELECT * FROM v_all_forecast",
     "forecast_next_days": """SELECT f.* FROM v_all_forecast f JOIN v_all_span s ON f.series_id = s.series_id

@@ -8,6 +8,7 @@ after always runs in the query itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,13 +103,11 @@ def lines(spark, folder) -> DataFrame:
 # -- ingest and conform -----------------------------------------------------
 @query
 def ingest_stamp(spark, folder):
-    load_ts = F.lit(LOADED_AT).cast("timestamp_ntz")
-    from datetime import datetime
-
-    stamped = stamp_load(
-        OrderBook(spark, folder).table("orders"), datetime.fromisoformat(LOADED_AT), "orders.parquet"
+    orders = OrderBook(spark, folder).table("orders")
+    stamped = stamp_load(orders, datetime.fromisoformat(LOADED_AT), "orders.parquet")
+    return stamped.withColumn(
+        "ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz")
     )
-    return stamped.withColumn("ingestion_timestamp", load_ts)
 
 
 @query
@@ -369,7 +368,7 @@ def clv_features(spark, folder):
 
 @query
 def clv_distribution(spark, folder):
-    return rounded(quality.clv_distribution(gold(spark, folder, "customer_clv_features")), 4, "avg_clv")
+    return quality.clv_distribution(gold(spark, folder, "customer_clv_features"))
 
 
 @query
@@ -472,8 +471,7 @@ def segment_names(spark, folder):
 @query
 def segment_profile(spark, folder):
     named = _assigned(spark, folder).withColumn("segment_name", segments.segment_name())
-    out = segments.segment_profile(named)
-    return rounded(out, 4, "avg_revenue", "avg_transactions", "avg_recency")
+    return segments.segment_profile(named)
 
 
 @query
@@ -604,8 +602,6 @@ def clv_metrics(spark, folder):
 
 @query
 def clv_future_set(spark, folder):
-    from datetime import date
-
     return models.clv_future_set(
         lines(spark, folder), silver(spark, folder, "customers"), date(2000, 8, 1)
     )

@@ -21,7 +21,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else (0.0 if value == 0 else float(f"{value:.12g}"))
+        return None if math.isnan(value) else (0.0 if value == 0 else value)
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, int):

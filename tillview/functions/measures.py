@@ -42,6 +42,13 @@ def mean(column: str) -> Column:
     return F.try_divide(F.sum(column).cast("double"), F.count(column))
 
 
+def exact_mean(column: str, scale: int = 6) -> Column:
+    """Average of a double column whose values have at most ``scale`` decimals:
+    summed as decimals, so the order of summing cannot show."""
+    total = F.sum(F.col(column).cast(f"decimal(28,{scale})"))
+    return F.try_divide(total.cast("double"), F.count(column))
+
+
 def ratio(part: Column | str, whole: Column | str) -> Column:
     """part / whole, and 0 where whole is not positive."""
     part = F.col(part) if isinstance(part, str) else part

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillview.functions import policies
-from tillview.functions.measures import mean, one_row, rows_where
+from tillview.functions.measures import exact_mean, mean, one_row, rows_where
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,7 +85,7 @@ def clv_distribution(clv: DataFrame) -> DataFrame:
         "clv_tier",
         {
             "customer_count": F.count("*"),
-            "avg_clv": F.avg("predicted_clv_3yr"),
+            "avg_clv": exact_mean("predicted_clv_3yr"),
             "total_revenue": F.sum("historical_revenue"),
         },
         "avg_clv",

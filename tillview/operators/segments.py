@@ -10,7 +10,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillview.functions.measures import one_row, select_available
+from tillview.functions.measures import exact_mean, one_row, select_available
 
 SEGMENT_FEATURES = [
     "total_transactions",
@@ -183,7 +183,7 @@ def segment_profile(segments: DataFrame, features: DataFrame | None = None) -> D
     if lacking and features is not None:
         segments = segments.join(features.select("customer_id", *lacking), "customer_id", "left")
     group = "segment_name" if "segment_name" in segments.columns else "cluster"
-    measures = [F.avg(column).alias(name) for name, column in averages.items()]
+    measures = [exact_mean(column).alias(name) for name, column in averages.items()]
     return (
         segments.groupBy(group)
         .agg(F.count("*").alias("count"), *measures)
