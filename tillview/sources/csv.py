@@ -36,6 +36,8 @@ def scan_csv(spark: SparkSession, path: str, source: Source) -> DataFrame:
     raw = (
         spark.read.schema(", ".join([f"`{h}` string" for h in header] + [f"{CORRUPT} string"]))
         .options(header=True, enforceSchema=False, columnNameOfCorruptRecord=CORRUPT)
+        # a pruned scan does not notice lines with fields missing
+        .option("columnPruning", False)
         .csv(path)
     )
     field_of = {h.strip().lower(): h for h in header}
