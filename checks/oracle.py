@@ -549,7 +549,7 @@ SELECTS = {
     "conform_loyalty": "SELECT * FROM v_loyalty",
     "conform_web": "SELECT * FROM v_web",
     "conform_tickets": "SELECT * FROM v_tickets",
-    "dedup_lines": """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey FROM (
+    "dedup_latest": """SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey,
           l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS place
         FROM lineitem) WHERE place = 1""",
@@ -594,7 +594,7 @@ SELECTS = {
         WHEN customer_health_score >= 60 THEN 'Good' WHEN customer_health_score >= 40 THEN 'Fair' ELSE 'Poor' END AS health_category,
         count(*) AS count FROM v_360 GROUP BY 1""",
     "churn_risk_distribution": "SELECT churn_risk_flag, count(*) AS count FROM v_360 GROUP BY 1",
-    "rfm_scores": "SELECT * FROM v_rfm",
+    "rfm": "SELECT * FROM v_rfm",
     "rfm_cutpoints": "SELECT "
     + ", ".join(
         f"{short}[{i}]::DOUBLE AS {name}_q{i * 20}"
@@ -629,7 +629,7 @@ SELECTS = {
         predicted_clv_3yr AS label
         FROM v_clv c LEFT JOIN v_features f ON c.customer_id = f.customer_id
         WHERE predicted_clv_3yr > 0 AND predicted_clv_3yr < 100000""",
-    "select_available_columns": "SELECT customer_id, total_revenue, return_rate, is_churned FROM v_features",
+    "select_available": "SELECT customer_id, total_revenue, return_rate, is_churned FROM v_features",
     "split_by_hash": """SELECT customer_id, bucket, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS part
         FROM (SELECT customer_id, (('0x' || substr(md5(customer_id), 1, 8))::UBIGINT % 100)::INTEGER AS bucket FROM v_customers)""",
     "zscore_features": "SELECT customer_id, "

@@ -84,7 +84,7 @@ def query(build: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return plain_numbers(build(spark, folder))
 
-    REGISTRY[build.__name__] = run
+    REGISTRY[build.__name__.rstrip("_")] = run
     return build
 
 
@@ -105,9 +105,8 @@ def lines(spark, folder) -> DataFrame:
 def ingest_stamp(spark, folder):
     orders = OrderBook(spark, folder).table("orders")
     stamped = stamp_load(orders, datetime.fromisoformat(LOADED_AT), "orders.parquet")
-    return stamped.withColumn(
-        "ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz")
-    )
+    # without a zone, so that the check does not depend on the session's
+    return stamped.withColumn("ingestion_timestamp", F.lit(LOADED_AT).cast("timestamp_ntz"))
 
 
 @query
@@ -125,8 +124,8 @@ def conform_transactions(spark, folder):
     book = OrderBook(spark, folder)
     return conform.conform_transactions(
         book.transactions(),
-        conform.conform_customers(book.customers(), AS_OF),
-        conform.conform_products(book.products(), AS_OF),
+        silver(spark, folder, "customers"),
+        silver(spark, folder, "products"),
         book.key_tables(),
     )
 
@@ -152,7 +151,7 @@ def conform_tickets(spark, folder):
 
 
 @query
-def dedup_lines(spark, folder):
+def dedup_latest_(spark, folder):
     """One line per order and line number, the latest shipped."""
     kept = dedup_latest(
         OrderBook(spark, folder).table("lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate"
@@ -289,7 +288,7 @@ def churn_risk_distribution(spark, folder):
 
 # -- scores and features ----------------------------------------------------
 @query
-def rfm_scores(spark, folder):
+def rfm_(spark, folder):
     return rfm.rfm(lines(spark, folder), AS_OF)
 
 
@@ -379,7 +378,7 @@ def clv_training_set(spark, folder):
 
 
 @query
-def select_available_columns(spark, folder):
+def select_available_(spark, folder):
     """Of a wished-for list, the columns the feature table has."""
     wanted = ["customer_id", "total_revenue", "not_there", "return_rate", "is_churned"]
     return select_available(gold(spark, folder, "customer_features"), wanted, ("customer_id",))

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillview.functions.measures import one_row
@@ -32,6 +32,8 @@ SEED = 42
 NODES = "tree int, node int, feature int, threshold double, left int, right int, size int"
 EULER = 0.5772156649015329
 HASH_RANGE = 2**31
+# Rows drawn per row wanted: the chance of drawing too few is nil.
+DRAWS_PER_ROW = 8
 
 
 def anomaly_features(features: DataFrame, columns: Sequence[str] = tuple(ANOMALY_FEATURES)) -> DataFrame:
@@ -63,20 +65,32 @@ def tree_samples(
 ) -> DataFrame:
     """``rows`` customers per tree, drawn without replacement.
 
-    A hash of the id first picks a pool of about ``pool`` rows in one pass;
-    only the pool is repeated per tree, so what is shuffled is bounded by
-    pool x trees however large the table is. Each tree then takes its smallest
-    hashes. The draw depends on ids and seed only, not on the partitioning."""
+    A hash of the id first picks a pool of about ``pool`` rows in one pass, and
+    each tree draws from the pool by a hash of its own: a row is repeated only
+    for the trees that draw it, so what is shuffled is bounded by trees x rows
+    however large the table is. Of its draws each tree keeps the smallest
+    hashes. The result depends on ids and seed only, not on the partitioning."""
     total = one_row(numbers.agg(F.count("*").alias("n")))["n"]
-    mark = F.pmod(F.xxhash64(F.lit(seed), F.col("customer_id")), F.lit(HASH_RANGE))
-    in_pool = mark.cast("double") * total <= F.lit(float(HASH_RANGE)) * F.lit(float(pool))
-    repeated = numbers.filter(in_pool).withColumn(
-        "tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
+
+    def share(mark: Column, wanted: int, of: Column) -> Column:
+        uniform = F.pmod(mark, F.lit(HASH_RANGE)).cast("double")
+        return uniform * of <= F.lit(float(HASH_RANGE) * wanted)
+
+    def draw(tree: Column) -> Column:
+        return F.xxhash64(F.lit(seed), tree, F.col("customer_id"))
+
+    in_pool = share(F.xxhash64(F.lit(seed), F.col("customer_id")), pool, total)
+    in_reach = F.least(total, F.lit(pool))
+    drawn = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: share(draw(tree), DRAWS_PER_ROW * rows, F.col("in_reach")),
     )
-    draw = F.xxhash64(F.lit(seed), F.col("tree"), F.col("customer_id"))
     order = Window.partitionBy("tree").orderBy("draw", "customer_id")
     return (
-        repeated.withColumn("draw", draw)
+        numbers.filter(in_pool)
+        .withColumn("in_reach", in_reach)
+        .withColumn("tree", F.explode(drawn))
+        .withColumn("draw", F.pmod(draw(F.col("tree")), F.lit(HASH_RANGE)))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= rows)
     )

@@ -6,6 +6,7 @@ table instead of recomputing its plan from the sources.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -63,13 +64,15 @@ class Medallion:
     load_ts: datetime | None = None
     key_tables: Mapping[str, DataFrame] | None = None
     _built: dict[str, DataFrame] = field(default_factory=dict)
+    _lock: threading.RLock = field(default_factory=threading.RLock)
 
     def table(self, name: str) -> DataFrame:
         """The named table, written before if it was not yet in this run."""
-        if name not in self._built:
-            df = self._builders()[name]()
-            self._built[name] = self.store.write(df, name, self.load_ts, PARTITIONS.get(name))
-        return self._built[name]
+        with self._lock:
+            if name not in self._built:
+                df = self._builders()[name]()
+                self._built[name] = self.store.write(df, name, self.load_ts, PARTITIONS.get(name))
+            return self._built[name]
 
     def run(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self._builders()}
