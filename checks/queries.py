@@ -488,21 +488,20 @@ NUMBERS = ("predicted_revenue", "lower_bound", "upper_bound")
 
 @query
 def forecast_trend_dow(spark, folder):
-    model = forecast.fit_trend_weekday(_series(spark, folder))
-    return rounded(forecast.forecast_trend_weekday(model), 4, *NUMBERS)
+    fitted = forecast.fit_trend_weekday(_series(spark, folder))
+    return rounded(forecast.forecast_trend_weekday(fitted), 4, *NUMBERS)
 
 
 @query
 def forecast_next_days(spark, folder):
-    series = _series(spark, folder)
-    all_days = forecast.forecast_trend_weekday(forecast.fit_trend_weekday(series))
-    return rounded(forecast.next_days(all_days, series), 4, *NUMBERS)
+    fitted = forecast.fit_trend_weekday(_series(spark, folder))
+    return rounded(forecast.next_days(forecast.forecast_trend_weekday(fitted)), 4, *NUMBERS)
 
 
 @query
 def forecast_metrics(spark, folder):
-    model = forecast.fit_trend_weekday(_series(spark, folder))
-    return rounded(forecast.forecast_metrics(model.fitted), 4, "mae", "rmse", "mape")
+    fitted = forecast.fit_trend_weekday(_series(spark, folder))
+    return rounded(forecast.forecast_metrics(fitted), 4, "mae", "rmse", "mape")
 
 
 @query
@@ -513,7 +512,7 @@ def forecast_holdout(spark, folder):
 @query
 def forecast_by_category(spark, folder):
     """One series per product category."""
-    daily = stage(sales.sales_by_category(lines(spark, folder)), "category-days")
+    daily = sales.sales_by_category(lines(spark, folder))
     series = forecast.revenue_series(daily, "product_category", "category_revenue")
     return rounded(
         forecast.forecast_trend_weekday(forecast.fit_trend_weekday(series)), 4, *NUMBERS

@@ -33,17 +33,24 @@ def test_trend_and_weekday_are_recovered(spark):
 def test_gaps_are_zero_and_short_series_are_skipped(spark):
     both = series(spark, 20, lambda d: 1, skip=(3, 4)).unionByName(series(spark, 13, lambda d: 1, "short"))
     filled = forecast.fill_gaps(both)
-    assert filled.groupBy("series_id").agg(F.count("*"), F.sum("y")).collect()[0][1:] == (20, 18.0)
+    assert [tuple(r) for r in filled.groupBy("series_id").agg(F.count("*"), F.sum("y")).collect()] == [("all", 20, 18.0)]
+    assert sorted(r.t for r in filled.collect()) == list(range(20))
     assert [r.series_id for r in forecast.skipped_series(both).collect()] == ["short"]
     assert forecast.fill_gaps(series(spark, 14, lambda d: 1)).count() == 14
 
 
 def test_next_days(spark):
     s = series(spark, 30, lambda d: d)
-    out = forecast.next_days(forecast.forecast_trend_weekday(forecast.fit_trend_weekday(s)), s)
+    out = forecast.next_days(forecast.forecast_trend_weekday(forecast.fit_trend_weekday(s)))
     assert sorted(r.forecast_date for r in out.collect()) == [START + timedelta(30 + i) for i in range(7)]
 
 
+def test_many_series_are_shuffled_once(spark):
+    out = forecast.forecast_trend_weekday(forecast.fit_trend_weekday(series(spark, 30, lambda d: d)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_metrics_skip_zero_actuals(spark):
     fitted = spark.createDataFrame(
         [("a", 0.0, 1.0), ("a", 10.0, 5.0), ("z", 0.0, 2.0)], "series_id string, y double, prediction double")

@@ -1,25 +1,27 @@
 """Daily demand forecasts, for one series or for many at once.
 
 A series table has the columns ``series_id``, ``date`` and ``y``, one row per
-series and date. It is an aggregate, days times series, and is read several
-times, so pass a stored table.
+series and date. Everything about a series, filling its gaps, fitting and
+forecasting it, happens in windows over ``series_id``: the table is shuffled
+once, and no step joins. A series is as long as its calendar, so its window is
+small however many sales it sums up.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tillview.functions.measures import one_row
 
 HORIZON = 30
 MIN_DAYS = 14
+WEEK = 7
 Z95 = 1.96
 ALL = "all"
 OUTPUT = [
@@ -32,6 +34,10 @@ OUTPUT = [
 ]
 
 
+def _series() -> WindowSpec:
+    return Window.partitionBy("series_id")
+
+
 def revenue_series(daily: DataFrame, by: str | None = None, value: str = "total_revenue") -> DataFrame:
     """A series table from a daily sales table, one series per value of ``by``."""
     series = F.col(by) if by else F.lit(ALL)
@@ -40,72 +46,82 @@ def revenue_series(daily: DataFrame, by: str | None = None, value: str = "total_
     ).filter(F.col("y").isNotNull())
 
 
-def _spans(series: DataFrame) -> DataFrame:
-    return series.groupBy("series_id").agg(
-        F.min("date").alias("start"), F.max("date").alias("end"), F.count("*").alias("days")
-    )
-
-
 def skipped_series(series: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
     """Series with too little history to forecast."""
-    return _spans(series).filter(F.col("days") < min_days)
+    days = series.groupBy("series_id").agg(F.count("*").alias("days"))
+    return days.filter(F.col("days") < min_days)
 
 
-def fill_gaps(series: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
+def fill_gaps(
+    series: DataFrame, min_days: int = MIN_DAYS, held_out_days: int = 0
+) -> DataFrame:
     """Every date from a series' first to its last, with 0 where none was
-    recorded, and ``t``, the days since the first. Short series are left out."""
-    spine = (
-        _spans(series)
+    recorded, and ``t``, the days since the first.
+
+    Each recorded date brings along the empty ones up to the next record, so no
+    calendar has to be joined. ``train`` is true up to the last record that is
+    not among the last ``held_out_days`` days, ``held_out`` in those days.
+    Series with fewer than ``min_days`` records to train on are left out."""
+    cut = F.date_sub("end", held_out_days)
+    trained = F.when(F.col("date") <= cut, F.col("date"))
+    recorded = (
+        series.withColumns(
+            {
+                "start": F.min("date").over(_series()),
+                "end": F.max("date").over(_series()),
+                "next": F.lead("date").over(_series().orderBy("date")),
+            }
+        )
+        .withColumns(
+            {"trained_to": F.max(trained).over(_series()), "days": F.count(trained).over(_series())}
+        )
         .filter(F.col("days") >= min_days)
-        .select("series_id", "start", F.explode(F.sequence("start", "end")).alias("date"))
     )
-    return spine.join(series, ["series_id", "date"], "left").select(
+    until = F.coalesce(F.date_sub("next", 1), F.col("date"))
+    return recorded.withColumn("day", F.explode(F.sequence("date", until))).select(
         "series_id",
-        "date",
-        F.datediff("date", "start").alias("t"),
-        F.dayofweek("date").alias("weekday"),
-        F.coalesce("y", F.lit(0.0)).alias("y"),
+        F.col("day").alias("date"),
+        F.datediff("day", "start").alias("t"),
+        F.dayofweek("day").alias("weekday"),
+        F.when(F.col("day") == F.col("date"), F.col("y")).otherwise(F.lit(0.0)).alias("y"),
+        (F.col("day") <= F.col("trained_to")).alias("train"),
+        (F.col("day") > cut).alias("held_out"),
     )
 
 
-@dataclass(frozen=True)
-class TrendWeekday:
-    """A linear trend plus one offset per weekday, for each series."""
-
-    fitted: DataFrame  # series_id, date, t, y, prediction
-    trend: DataFrame  # series_id, slope, intercept, last_date, last_t
-    effects: DataFrame  # series_id, weekday, effect
-    spread: DataFrame  # series_id, sd
+def fit_trend_weekday(
+    series: DataFrame, min_days: int = MIN_DAYS, held_out_days: int = 0
+) -> DataFrame:
+    """A linear trend plus one offset per weekday, for each series: the filled
+    history with ``prediction`` and ``sd``, the deviation of the residuals."""
 
+    def trained(value: Column) -> Column:
+        return F.when(F.col("train"), value)
 
-def fit_trend_weekday(series: DataFrame, min_days: int = MIN_DAYS) -> TrendWeekday:
-    history = fill_gaps(series, min_days)
-    trend = history.groupBy("series_id").agg(
-        F.regr_slope("y", "t").alias("slope"),
-        F.regr_intercept("y", "t").alias("intercept"),
-        F.max("date").alias("last_date"),
-        F.max("t").alias("last_t"),
-    )
-    line = F.col("intercept") + F.col("slope") * F.col("t")
-    detrended = history.join(trend, "series_id").withColumn("line", line)
-    effects = detrended.groupBy("series_id", "weekday").agg(
-        F.avg(F.col("y") - F.col("line")).alias("effect")
-    )
-    fitted = detrended.join(effects, ["series_id", "weekday"]).select(
-        "series_id", "date", "t", "y", (F.col("line") + F.col("effect")).alias("prediction")
-    )
-    spread = fitted.groupBy("series_id").agg(
-        F.stddev_samp(F.col("y") - F.col("prediction")).alias("sd")
+    y, t = F.col("y"), F.col("t")
+    same_weekday = Window.partitionBy("series_id", "weekday")
+    return (
+        fill_gaps(series, min_days, held_out_days)
+        .withColumns(
+            {
+                "slope": F.regr_slope(trained(y), trained(t)).over(_series()),
+                "base": F.regr_intercept(trained(y), trained(t)).over(_series()),
+            }
+        )
+        .withColumn("line", F.col("base") + F.col("slope") * t)
+        .withColumn("effect", F.avg(trained(y - F.col("line"))).over(same_weekday))
+        .withColumn("prediction", F.col("line") + F.col("effect"))
+        .withColumn("sd", F.stddev_samp(trained(y - F.col("prediction"))).over(_series()))
+        .drop("base", "line", "effect")
     )
-    return TrendWeekday(fitted, trend, effects, spread)
 
 
 def _output(
-    df: DataFrame, when: str, prediction: Column, lower: Column, upper: Column, model: str
+    df: DataFrame, when: Column, prediction: Column, lower: Column, upper: Column, model: str
 ) -> DataFrame:
     return df.select(
         "series_id",
-        F.col(when).alias("forecast_date"),
+        when.alias("forecast_date"),
         prediction.alias("predicted_revenue"),
         lower.alias("lower_bound"),
         upper.alias("upper_bound"),
@@ -113,35 +129,36 @@ def _output(
     )
 
 
-def forecast_trend_weekday(model: TrendWeekday, horizon: int = HORIZON) -> DataFrame:
+def forecast_trend_weekday(fitted: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Fitted values without bounds, then ``horizon`` future days with 95 %
-    bounds, per series."""
-    name = "trend_weekday"
-    unknown = F.lit(None).cast("double")
-    past = _output(model.fitted, "date", F.col("prediction"), unknown, unknown, name)
-    ahead = (
-        model.trend.join(model.spread, "series_id")
-        .select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
-        .withColumn("date", F.date_add("last_date", F.col("step")))
-        .withColumn("weekday", F.dayofweek("date"))
-        .join(model.effects, ["series_id", "weekday"])
+    bounds, per series.
+
+    A future day lies whole weeks after one of the last seven and differs from
+    it by the trend alone, so those seven rows carry the forecast: no join with
+    the weekday offsets, and one pass for past and future."""
+    left = F.datediff(F.max("date").over(_series()), F.col("date"))
+    weeks = F.floor((F.lit(horizon) + F.col("left")) / F.lit(WEEK)).cast("int")
+    ahead = F.when(F.col("left") < WEEK, F.sequence(F.lit(0), weeks)).otherwise(F.array(F.lit(0)))
+    rows = (
+        fitted.withColumn("left", left)
+        .withColumn("week", F.explode(ahead))
+        .withColumn("shift", F.col("week") * WEEK)
     )
-    level = (
-        F.col("intercept") + F.col("slope") * (F.col("last_t") + F.col("step")) + F.col("effect")
-    )
-    margin = F.lit(Z95) * F.col("sd")
-    future = _output(ahead, "date", level, level - margin, level + margin, name)
-    return past.unionByName(future)
+    level = F.col("prediction") + F.col("slope") * F.col("shift")
+    margin = F.when(F.col("week") > 0, F.lit(Z95) * F.col("sd"))
+    when = F.date_add("date", F.col("shift"))
+    return _output(rows, when, level, level - margin, level + margin, "trend_weekday")
 
 
-def next_days(forecast: DataFrame, series: DataFrame, n: int = 7) -> DataFrame:
-    """The first ``n`` forecast days after each series' last recorded date."""
-    last = _spans(series).select("series_id", "end")
+def next_days(forecast: DataFrame, n: int = 7) -> DataFrame:
+    """The first ``n`` future days of each series. Rows with bounds are future
+    ones; a forecast that bounds its past too needs its own date filter."""
+    first = F.min(F.when(F.col("lower_bound").isNotNull(), F.col("forecast_date"))).over(_series())
     return (
-        forecast.join(last, "series_id")
+        forecast.withColumn("first", first)
         .filter(
-            (F.col("forecast_date") > F.col("end"))
-            & (F.col("forecast_date") <= F.date_add("end", n))
+            (F.col("forecast_date") >= F.col("first"))
+            & (F.col("forecast_date") < F.date_add("first", n))
         )
         .select(*OUTPUT)
     )
@@ -162,27 +179,7 @@ def forecast_metrics(fitted: DataFrame) -> DataFrame:
 def holdout_metrics(series: DataFrame, days: int = HORIZON) -> DataFrame:
     """The same errors on each series' last ``days`` days, forecast from the
     days before them. Days without a record count as 0."""
-    spans = _spans(series).withColumn("cut", F.date_sub("end", days))
-    marked = series.join(spans.select("series_id", "cut", "end"), "series_id")
-    before = marked.filter(F.col("date") <= F.col("cut")).select("series_id", "date", "y")
-    model = fit_trend_weekday(before)
-    # the training part may end before the cut, so forecast past the gap too
-    window = spans.select(
-        "series_id",
-        F.explode(F.sequence(F.date_add("cut", 1), F.col("end"))).alias("date"),
-    ).withColumn("weekday", F.dayofweek("date"))
-    actual = window.join(series, ["series_id", "date"], "left")
-    level = (
-        F.col("intercept")
-        + F.col("slope") * (F.col("last_t") + F.datediff("date", "last_date"))
-        + F.col("effect")
-    )
-    scored = (
-        actual.join(model.trend, "series_id")
-        .join(model.effects, ["series_id", "weekday"])
-        .select("series_id", F.coalesce("y", F.lit(0.0)).alias("y"), level.alias("prediction"))
-    )
-    return forecast_metrics(scored)
+    return forecast_metrics(fit_trend_weekday(series, held_out_days=days).filter("held_out"))
 
 
 # -- one series with yearly and weekly seasons and a bending trend ---------
@@ -223,19 +220,21 @@ def forecast_seasonal(
 
     The fit is one pass of the normal equations, summed on the executors; the
     model has about 50 coefficients. Runs jobs."""
-    days = _spans(series)
-    if days.count() != 1:
+    if series.select("series_id").distinct().count() != 1:
         raise ValueError("forecast_seasonal takes a single series")
     if skipped_series(series, min_days).count():
         raise ValueError(f"fewer than {min_days} days of history")
-    history = fill_gaps(series, min_days)
+    history = fill_gaps(series, min_days).drop("weekday", "train", "held_out")
     last = one_row(history.agg(F.max("t").alias("t"), F.max("date").alias("date")))
-    future = (
-        days.select(
-            "series_id", "start", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"), "end"
-        )
-        .withColumn("date", F.date_add("end", F.col("step")))
-        .select("series_id", "date", F.datediff("date", "start").alias("t"))
+    future = history.filter(F.col("date") == last["date"]).select(
+        "series_id",
+        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"),
+        "date",
+        "t",
+    ).select(
+        "series_id",
+        F.date_add("date", F.col("step")).alias("date"),
+        (F.col("t") + F.col("step")).alias("t"),
     )
     seasons = _season_columns()
     trend = _trend_columns(F.col("t") / last["t"])
@@ -256,6 +255,8 @@ def forecast_seasonal(
     spread = one_row(fitted.agg(F.stddev_samp(F.col("y") - F.col("prediction")).alias("sd")))["sd"]
     name = "seasonal_regression"
     level, margin = F.col("prediction"), F.lit(Z80) * spread
-    past = _output(fitted, "date", level, level - margin, level + margin, name)
-    ahead = _output(predicted(future), "date", level, level - margin, level + margin, name)
-    return past.unionByName(ahead), fitted
+    every_day = fitted.select("series_id", "date", "prediction").unionByName(
+        predicted(future).select("series_id", "date", "prediction")
+    )
+    out = _output(every_day, F.col("date"), level, level - margin, level + margin, name)
+    return out, fitted

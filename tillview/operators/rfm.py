@@ -50,16 +50,16 @@ def score_rfm(base: DataFrame) -> DataFrame:
     """Scores 1..5 per measure, their sum 3..15 and the segment.
 
     The cut points arrive as a scalar subquery: no join and no driver step."""
-    cuts = one_row(rfm_cutpoints(base))
+    cuts = F.col("_cuts")
     recency, frequency, money = (F.col(m) for m in RFM_MEASURES)
-    scored = base.withColumns(
+    scored = base.withColumn("_cuts", one_row(rfm_cutpoints(base))).withColumns(
         {
             "recency_score": _cuts_passed(cuts["recency_days"], lambda cut: recency <= cut),
             "frequency_score": _cuts_passed(cuts["frequency"], lambda cut: frequency >= cut),
             "monetary_score": _cuts_passed(cuts["monetary_value"], lambda cut: money >= cut),
         }
     )
-    return scored.withColumn(
+    return scored.drop("_cuts").withColumn(
         "rfm_score", F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     ).withColumn("rfm_segment", policies.RFM_SEGMENT.column())
 

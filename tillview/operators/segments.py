@@ -47,11 +47,10 @@ def segmentation_features(features: DataFrame) -> DataFrame:
 def zscores(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each column centred and divided by its sample deviation; a constant
     column becomes 0. The statistics are one row, read as a scalar subquery."""
-    stats = one_row(
-        df.agg(
-            *[F.avg(c).alias(f"{c}_mean") for c in columns],
-            *[F.stddev_samp(c).alias(f"{c}_sd") for c in columns],
-        )
+    stats = F.col("_stats")
+    figures = df.agg(
+        *[F.avg(c).alias(f"{c}_mean") for c in columns],
+        *[F.stddev_samp(c).alias(f"{c}_sd") for c in columns],
     )
     kept = [F.col(c) for c in df.columns if c not in columns]
     scaled = [
@@ -60,7 +59,7 @@ def zscores(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .alias(c)
         for c in columns
     ]
-    return df.select(*kept, *scaled)
+    return df.withColumn("_stats", one_row(figures)).select(*kept, *scaled)
 
 
 def nearest_center_assign(
