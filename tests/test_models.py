@@ -144,7 +144,8 @@ def test_split_is_stable_and_complete(churn):
     assert train.select("customer_id").exceptAll(again.select("customer_id")).isEmpty()
 
 
-def test_churn_models_learn(churn):
+def test_churn_models_learn(churn, monkeypatch):
+    monkeypatch.setitem(models.BOOSTED, "maxIter", 8)
     train, test = models.split_by_hash(models.churn_training_set(churn))
     boosted = models.fit_churn_gbt(train)
     for name, model in (("lr", models.fit_churn_lr(train)), ("gbt", boosted)):

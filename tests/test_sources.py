@@ -204,10 +204,12 @@ def test_totals_survive_the_layers(lake):
     assert tables["customer_segments_gold"].groupBy("segment_name").count().agg(F.sum("count")).first()[0] == 120
 
 
-def test_models_are_saved_and_load(spark, lake, tmp_path):
+def test_models_are_saved_and_load(spark, lake, tmp_path, monkeypatch):
     from pyspark.ml import PipelineModel
     from tillview.operators import models
 
+    monkeypatch.setitem(models.BOOSTED, "maxIter", 2)
+
     tables, store, _ = lake
     medallion = Medallion(store, AS_OF, lambda name: store.read(f"{name}_bronze"), LOADED, _built=dict(tables))
     paths = train_models(medallion, str(tmp_path / "artifacts"))
