@@ -29,6 +29,7 @@ from tillview.operators import (
     segments,
 )
 from tillview.operators.dedup import dedup_latest
+from tillview.operators.profile import customer_profile, renamed
 from tillview.plans.medallion import Medallion
 from tillview.sources.csv import stamp_load
 from tillview.sources.orderbook import AS_OF, LOADED_AT, OrderBook
@@ -61,11 +62,11 @@ def medallion(spark: SparkSession, folder: str) -> Medallion:
 
 def plain_numbers(df: DataFrame) -> DataFrame:
     """Decimals as doubles: both engines then return the same type."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.col(f.name).cast("double").alias(f.name)
+            f"CAST(`{f.name}` AS DOUBLE) AS `{f.name}`"
             if isinstance(f.dataType, DecimalType)
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in df.schema
         ]
     )
@@ -337,15 +338,18 @@ def ticket_features(spark, folder):
 
 @query
 def customer_features(spark, folder):
-    out = features.customer_features(
+    wanted = dict.fromkeys(
+        [*features.TRANSACTION_FEATURES.values(), *rfm.RFM_MEASURES.values()]
+    )
+    profile = stage(customer_profile(lines(spark, folder), AS_OF, list(wanted)), "profile")
+    out = features.assemble_features(
         silver(spark, folder, "customers"),
-        lines(spark, folder),
-        silver(spark, folder, "loyalty_events"),
-        silver(spark, folder, "crm_interactions"),
-        silver(spark, folder, "web_analytics"),
-        silver(spark, folder, "support_tickets"),
-        rfm.rfm(lines(spark, folder), AS_OF),
-        AS_OF,
+        renamed(profile, features.TRANSACTION_FEATURES),
+        features.loyalty_features(silver(spark, folder, "loyalty_events")),
+        features.crm_features(silver(spark, folder, "crm_interactions"), AS_OF),
+        features.web_features(silver(spark, folder, "web_analytics")),
+        features.ticket_features(silver(spark, folder, "support_tickets")),
+        rfm.score_rfm(renamed(profile, rfm.RFM_MEASURES)),
     )
     return rounded(out, 6, "stddev_transaction_value")
 

@@ -71,8 +71,8 @@ def select_available(df: DataFrame, wanted: list[str], required: tuple[str, ...]
 def zero_filled(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULL becomes 0 in the listed columns that exist; one projection."""
     fill = set(columns)
-    return df.select(
-        *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in fill else F.col(c) for c in df.columns]
+    return df.selectExpr(
+        *[f"coalesce(`{c}`, 0) AS `{c}`" if c in fill else f"`{c}`" for c in df.columns]
     )
 
 

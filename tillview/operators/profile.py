@@ -10,60 +10,56 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillview.functions.measures import as_date, days_until, mean, named, rows_where, sum_where
 from tillview.functions.policies import LOOKBACK_DAYS
 
-WHEN = "transaction_date"
+# What is counted distinctly per customer.
+DISTINCT = {
+    "order_count": "transaction_id",
+    "product_count": "product_id",
+    "category_count": "product_category",
+    "day_count": "to_date(transaction_date)",
+}
 
 
-def _recent(as_of: date, days: int) -> Column:
-    return F.col(WHEN) >= as_date(as_of - timedelta(days=days))
+def _mean(column: str) -> str:
+    return f"try_divide(CAST(sum({column}) AS DOUBLE), count({column}))"
 
 
-def plain_measures(as_of: date) -> dict[str, Column]:
-    """Aggregates that keep a buffer of fixed size per customer."""
+def plain_measures(as_of: date) -> dict[str, str]:
+    """Aggregates that keep a buffer of fixed size per customer, as SQL."""
     out = {
-        "line_count": F.count("transaction_id"),
-        "revenue_sum": F.sum("revenue"),
-        "revenue_mean": mean("revenue"),
-        "revenue_stddev": F.stddev_samp(F.col("revenue").cast("double")),
-        "last_purchase": F.max(WHEN),
-        "first_purchase": F.min(WHEN),
-        "days_since_last": days_until(as_of, F.max(WHEN)),
-        "days_first_to_last": F.datediff(F.max(WHEN), F.min(WHEN)),
+        "line_count": "count(transaction_id)",
+        "revenue_sum": "sum(revenue)",
+        "revenue_mean": _mean("revenue"),
+        "revenue_stddev": "stddev_samp(CAST(revenue AS DOUBLE))",
+        "last_purchase": "max(transaction_date)",
+        "first_purchase": "min(transaction_date)",
+        "days_since_last": f"datediff(DATE'{as_of}', max(transaction_date))",
+        "days_first_to_last": "datediff(max(transaction_date), min(transaction_date))",
         # twelve possible months fit a bit mask: distinct without a distinct
-        "months_seen": F.bit_count(F.bit_or(F.expr("1 << transaction_month"))).cast("bigint"),
-        "hour_mean": mean("transaction_hour"),
-        "quantity_mean": mean("quantity"),
-        "online_lines": rows_where("channel = 'Online'"),
-        "store_lines": rows_where("channel = 'Store'"),
-        "mobile_lines": rows_where("channel = 'Mobile App'"),
-        "returned_lines": rows_where("order_status = 'Returned'"),
-        "cancelled_lines": rows_where("order_status = 'Cancelled'"),
-        "discount_mean": mean("discount_percent"),
-        "discounted_lines": rows_where("discount_percent > 0"),
-        "credit_card_lines": rows_where("payment_method = 'Credit Card'"),
-        "paypal_lines": rows_where("payment_method = 'PayPal'"),
+        "months_seen": "CAST(bit_count(bit_or(1 << transaction_month)) AS BIGINT)",
+        "hour_mean": _mean("transaction_hour"),
+        "quantity_mean": _mean("quantity"),
+        "online_lines": "count_if(channel = 'Online')",
+        "store_lines": "count_if(channel = 'Store')",
+        "mobile_lines": "count_if(channel = 'Mobile App')",
+        "returned_lines": "count_if(order_status = 'Returned')",
+        "cancelled_lines": "count_if(order_status = 'Cancelled')",
+        "discount_mean": _mean("discount_percent"),
+        "discounted_lines": "count_if(discount_percent > 0)",
+        "credit_card_lines": "count_if(payment_method = 'Credit Card')",
+        "paypal_lines": "count_if(payment_method = 'PayPal')",
     }
     for days in LOOKBACK_DAYS:
-        out[f"lines_{days}d"] = rows_where(_recent(as_of, days))
-        out[f"revenue_{days}d"] = sum_where(_recent(as_of, days), "revenue")
+        recent = f"transaction_date >= DATE'{as_of - timedelta(days=days)}'"
+        out[f"lines_{days}d"] = f"count_if({recent})"
+        out[f"revenue_{days}d"] = f"sum(CASE WHEN {recent} THEN revenue ELSE 0 END)"
     return out
 
 
-def distinct_measures() -> dict[str, Column]:
-    """What is counted distinctly per customer."""
-    return {
-        "order_count": F.col("transaction_id"),
-        "product_count": F.col("product_id"),
-        "category_count": F.col("product_category"),
-        "day_count": F.to_date(WHEN),
-    }
-
-
 def customer_profile(lines: DataFrame, as_of: date, wanted: Sequence[str]) -> DataFrame:
     """One row per customer with the wanted measures, named as declared above.
 
@@ -77,13 +73,13 @@ def customer_profile(lines: DataFrame, as_of: date, wanted: Sequence[str]) -> Da
 
     Lines without a customer belong to no profile and are left out.
     """
-    plain, distinct = plain_measures(as_of), distinct_measures()
-    unknown = [w for w in wanted if w not in plain and w not in distinct]
+    plain = plain_measures(as_of)
+    unknown = [w for w in wanted if w not in plain and w not in DISTINCT]
     if unknown:
         raise ValueError(f"unknown profile measures: {unknown}")
     known = lines.filter(F.col("customer_id").isNotNull())
-    simple = named({w: plain[w] for w in wanted if w in plain})
-    counted = named({w: F.count_distinct(distinct[w]) for w in wanted if w in distinct})
+    simple = [F.expr(f"{plain[w]} AS {w}") for w in wanted if w in plain]
+    counted = [F.expr(f"count(DISTINCT {DISTINCT[w]}) AS {w}") for w in wanted if w in DISTINCT]
     if len(counted) < 2 or not simple:
         out = known.groupBy("customer_id").agg(*simple, *counted)
     else:
@@ -95,6 +91,6 @@ def customer_profile(lines: DataFrame, as_of: date, wanted: Sequence[str]) -> Da
 
 def renamed(profile: DataFrame, names: dict[str, str]) -> DataFrame:
     """The profile under output names: {output column: profile measure}."""
-    return profile.select(
-        "customer_id", *[F.col(measure).alias(out) for out, measure in names.items()]
+    return profile.selectExpr(
+        "customer_id", *[f"{measure} AS {out}" for out, measure in names.items()]
     )

@@ -36,31 +36,29 @@ def rfm_cutpoints(base: DataFrame) -> DataFrame:
     )
 
 
-def _cuts_passed(cuts: Column, passes) -> Column:
-    """1 + the number of cut points for which ``passes`` holds. Cut points do
-    not decrease, so this is the quintile; a NULL measure passes none."""
+def _quintile(measure: str, passes: str) -> Column:
+    """1 + the number of cut points the measure passes. Cut points do not
+    decrease, so this is the quintile; a NULL measure passes none."""
     hits = [
-        F.coalesce(passes(cuts[i]).cast("int"), F.lit(0))
+        f"int(coalesce({measure} {passes} _cuts.{measure}[{i}], false))"
         for i in range(len(policies.RFM_QUANTILES))
     ]
-    return sum(hits, F.lit(1))
+    return F.expr(f"1 + {' + '.join(hits)}")
 
 
 def score_rfm(base: DataFrame) -> DataFrame:
     """Scores 1..5 per measure, their sum 3..15 and the segment.
 
     The cut points arrive as a scalar subquery: no join and no driver step."""
-    cuts = F.col("_cuts")
-    recency, frequency, money = (F.col(m) for m in RFM_MEASURES)
     scored = base.withColumn("_cuts", one_row(rfm_cutpoints(base))).withColumns(
         {
-            "recency_score": _cuts_passed(cuts["recency_days"], lambda cut: recency <= cut),
-            "frequency_score": _cuts_passed(cuts["frequency"], lambda cut: frequency >= cut),
-            "monetary_score": _cuts_passed(cuts["monetary_value"], lambda cut: money >= cut),
+            "recency_score": _quintile("recency_days", "<="),
+            "frequency_score": _quintile("frequency", ">="),
+            "monetary_score": _quintile("monetary_value", ">="),
         }
     )
     return scored.drop("_cuts").withColumn(
-        "rfm_score", F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
+        "rfm_score", F.expr("recency_score + frequency_score + monetary_score")
     ).withColumn("rfm_segment", policies.RFM_SEGMENT.column())
 
 
