@@ -17,7 +17,8 @@ RFM_MEASURES = {
     "frequency": "order_count",
     "monetary_value": "revenue_sum",
 }
-ACCURACY = 10000
+# Rank error of a cut point: at most customers / ACCURACY places.
+ACCURACY = 100_000
 
 
 def rfm_base(lines: DataFrame, as_of: date) -> DataFrame:
@@ -25,14 +26,15 @@ def rfm_base(lines: DataFrame, as_of: date) -> DataFrame:
     return renamed(customer_profile(lines, as_of, list(RFM_MEASURES.values())), RFM_MEASURES)
 
 
-def rfm_cutpoints(base: DataFrame) -> DataFrame:
+def rfm_cutpoints(base: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     """One row with an array of four cut points per measure.
 
-    A mergeable sketch with rank error below 1 / 10000; it stays on the
-    executors, and its state is bounded by the accuracy, not by the data."""
+    A mergeable sketch, exact up to ``accuracy`` customers and off by at most
+    n / accuracy ranks beyond; it stays on the executors, and its state is
+    bounded by the accuracy, not by the data."""
     quantiles = F.array(*[F.lit(q) for q in policies.RFM_QUANTILES])
     return base.agg(
-        *[F.percentile_approx(m, quantiles, F.lit(ACCURACY)).alias(m) for m in RFM_MEASURES]
+        *[F.percentile_approx(m, quantiles, F.lit(accuracy)).alias(m) for m in RFM_MEASURES]
     )
 
 
