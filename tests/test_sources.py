@@ -73,7 +73,7 @@ def test_ingest_stamps_and_quarantine(spark, raw, tmp_path):
 
 def test_store_paths_reads_and_overwrites(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake"))
-    assert store.path("workspace.default.x_silver") == store.path("x_silver")
+    assert store.path("main.shop.x_silver") == store.path("x_silver")
     assert store.read("x_silver", optional=True) is None
     with pytest.raises(TableMissing):
         store.read("x_silver")
