@@ -11,6 +11,7 @@ Null texts are empty and have the closing id alone. Repeated rows are packed eac
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ class Ids:
     """
 
     def __init__(self, tokenizer: bytes) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_str(tokenizer.decode()), {"": b""}
@@ -116,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer: bytes, capacity: int = CAPACITY, end_id:
                 whole = ids(text.as_py() or "") + end
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part))
+                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
             columns = [list(c) for c in zip(*rows, strict=True)] or [[] for _ in range(6)]
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()][: 6 if keep_ids else 5]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
