@@ -15,7 +15,10 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from string import punctuation
+from unicodedata import normalize
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,14 +31,18 @@ OPEN_BINS = 1 << 16
 TASK_PIECES = 100_000
 #: Distinct words whose ids a task remembers, at most.
 WORDS = 600_000
+#: Words that are encoded together, and how the tokens that close a word end.
+BATCH, WORD_END = 10_000, "</w>"
 
 
 class Ids:
     """Token ids of texts as little-endian 32-bit bytes.
 
     The tokenizer folds case, drops white space and never joins across it, nor a
-    letter with a comma or full stop; so a text's ids are those of its words between
-    blanks and line feeds, and each word is encoded once.
+    letter or digit with the punctuation behind it; so a text's ids are those of its
+    words between blanks and line feeds, without and then with what they end on, and
+    each is encoded once. Words of letters alone have one closing token each, so they
+    are encoded as one text and cut behind those.
     """
 
     def __init__(self, tokenizer: bytes) -> None:
@@ -43,11 +50,27 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_str(tokenizer.decode()), {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def _learn_letters(self, words: list[str]) -> list[str]:
+        """Words of letters alone; returns those it could not tell apart."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) != len(words):
+            return words
+        whole, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        self.known.update(zip(words, (whole[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+        return []
 
     def _learn(self, words: set[str]) -> None:
-        listed = list(words)
-        for first in range(0, len(listed), 10_000):
-            part = listed[first : first + 10_000]
+        letters = [w for w in words if w.isalpha() and (w.isascii() or normalize("NFC", w.lower()).isalpha())]
+        rest = list(words.difference(letters))
+        for first in range(0, len(letters), BATCH):
+            rest += self._learn_letters(letters[first : first + BATCH])
+        for first in range(0, len(rest), BATCH):
+            part = rest[first : first + BATCH]
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
 
@@ -60,12 +83,12 @@ class Ids:
             if len(self.known) + 2 * len(new) > WORDS:
                 self.known = {"": b""}
                 new = set(words) - {""}
-            ended = [w for w in new if w[-1] in ",." and w[-2:-1].isalpha()]
-            new.difference_update(ended)
-            new.update({w[:-1] for w in ended}.difference(self.known), {",", "."}.difference(self.known))
+            ended = [(w, stem) for w in new if len(stem := w.rstrip(punctuation)) < len(w) and stem[-1:].lower()[-1:].isalnum() and "<|" not in w]
+            new.difference_update([w for w, _ in ended])
+            new.update({x for w, stem in ended for x in (stem, w[len(stem) :])}.difference(self.known))
             self._learn(new)
-            for word in ended:
-                self.known[word] = self.known[word[:-1]] + self.known[word[-1]]
+            for word, stem in ended:
+                self.known[word] = self.known[stem] + self.known[word[len(stem) :]]
         return b"".join(map(self.known.__getitem__, words))
 
 
