@@ -14,14 +14,17 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 #: Characters of text whose words are replayed together, about; a longer text is a block of its own.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 EDGE, GONE = -1, -2
 
 
@@ -139,6 +142,7 @@ def encode_texts(merges: Merges, pattern, texts: list[str]) -> tuple[np.ndarray,
         counts.append(len(found))
         which.append(np.fromiter((words.setdefault(w, len(words)) for w in found), np.int32, len(found)))
     ids, offsets = merges.encode_words([w.encode() for w in words])
+    ids = ids.astype(np.int32)
     used = np.concatenate(which) if which else np.zeros(0, np.int32)
     lengths = np.diff(offsets)[used]
     ends = np.append(0, np.cumsum(lengths))
@@ -146,47 +150,55 @@ def encode_texts(merges: Merges, pattern, texts: list[str]) -> tuple[np.ndarray,
     return ids[flat], ends[np.append(0, np.cumsum(counts, dtype=np.int64))]
 
 
+def decode(tokens: list[bytes], ids: np.ndarray) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
 class Coder:
-    """Encoding and decoding of columns with one vocabulary, whose content (a few MB)
-    bounds what is broadcast."""
+    """Encoding and decoding with one vocabulary, whose content (a few MB) bounds what is
+    broadcast."""
 
     def __init__(self, spark: SparkSession, ranks: bytes, pattern: str) -> None:
         tokens = read_ranks(ranks)
         self.shared = spark.sparkContext.broadcast((tokens, *pairs_of(tokens)))
         self.pattern = pattern
 
-    def encode(self, text: Column) -> Column:
-        """Ids of each whole text, as ``array<int>``."""
+    def encode(self, docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+        """The columns of ``docs``, but for the text, and the ids of each whole text; with
+        ``decoded`` also a column of that name with the bytes that the ids decode to."""
         shared, pattern = self.shared, self.pattern
+        kept = [c for c in docs.columns if c not in (text, ids, decoded)]
+        base = docs.select(*kept, F.col(text).cast("string").alias(text))
+        schema = StructType([*(base.schema[c] for c in kept), StructField(ids, ArrayType(IntegerType()))])
+        if decoded:
+            schema = schema.add(decoded, BinaryType())
 
-        @arrow_udf("array<int>")
-        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import regex
 
             merges, words = Merges(*shared.value), regex.compile(pattern)
-            for texts in batches:
-                ids, cuts, block, chars = [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], [], 0
-                for k, item in enumerate(texts):
-                    block.append(item.as_py() or "")
-                    chars += len(block[-1])
+            for batch in batches:
+                texts, first, chars = batch.column(len(kept)), 0, 0
+                for k in range(len(texts)):
+                    chars += len(texts[k].as_py() or "")
                     if chars >= BLOCK_CHARS or k == len(texts) - 1:
-                        found, ends = encode_texts(merges, words, block)
-                        ids.append(found)
-                        cuts.append(cuts[-1][-1] + ends[1:])
-                        block, chars = [], 0
-                offsets = pa.array(np.concatenate(cuts).astype(np.int32))
-                yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids).astype(np.int32)))
+                        part = batch.slice(first, k + 1 - first)
+                        found, cuts = encode_texts(merges, words, [x or "" for x in part.column(len(kept)).to_pylist()])
+                        out = [*part.columns[: len(kept)], pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(found))]
+                        if decoded:
+                            out.append(pa.array([decode(merges.tokens, found[a:b]) for a, b in pairwise(cuts.tolist())], pa.binary()))
+                        yield pa.RecordBatch.from_arrays(out, schema.names)
+                        first, chars = k + 1, 0
 
-        return encode(text)
+        return base.mapInArrow(work, schema)
 
     def decode(self, ids: Column) -> Column:
         """The bytes of each list of ids (null: empty)."""
         shared = self.shared
 
-        @arrow_udf("binary")
-        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        @arrow_udf(BinaryType())
+        def bytes_of(lists: pa.Array) -> pa.Array:
             tokens = shared.value[0]
-            for lists in batches:
-                yield pa.array([b"".join(map(tokens.__getitem__, x.values.to_pylist() if x.is_valid else ())) for x in lists], pa.binary())
+            return pa.array([decode(tokens, x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32)) for x in lists], pa.binary())
 
-        return decode(ids)
+        return bytes_of(ids)

@@ -74,8 +74,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from public_tokenizers import PATTERN
 
     coder = Coder(spark, vocabulary(BYTE_VOCABULARY), PATTERN)
-    coded = table(spark, sf_dir, "documents").select("doc_id", coder.encode(F.col("text")).alias("ids"))
-    decoded = coded.select("doc_id", "ids", coder.decode(F.col("ids")).alias("decoded"))
+    decoded = coder.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decoded.select(
         "doc_id",
