@@ -19,6 +19,7 @@ conversation's length.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -64,6 +65,7 @@ def mask(starts: np.ndarray, ends: np.ndarray, spans: np.ndarray) -> np.ndarray:
 
 def encoder(content: bytes):
     """The tokenizer with control strings as tokens and untrimmed offsets."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
     from tokenizers import AddedToken, Tokenizer, processors
 
     tokenizer = Tokenizer.from_str(content.decode())

@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tillview.sources.staging import stage
 
-__all__ = ["stage", "table", "vocabulary"]
+__all__ = ["batches", "stage", "table", "vocabulary"]
 
 
-def table(spark, sf_dir: str, name: str) -> DataFrame:
+#: Rows of a batch that Python works on; the usual 10,000 are a lot of memory where rows are texts.
+BATCH_ROWS = 1000
+
+
+def batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batch size for tables of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder; sets the batch size."""
+    batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType
 
-from tillview.llm.linear import Leader, gather, one_text, pack, sample, unanimous, unpack
+from tillview.llm.linear import Leader, gather, one_text, sample, unanimous
 from tillview.llm.spans import blocks, mix, runs, span_hashes
 
 DIM = 1 << 20
 #: Labelled rows of each class that the model is fitted on, at most (about: chosen by hash).
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 5000
 #: A text is flagged if grade 1 or more has this chance.
 FLAG = 0.3
 EPOCHS = 8
@@ -67,18 +67,18 @@ def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         rows = []
         for data, offsets in blocks(texts):
             doc, slots = features(data, offsets)
-            rows += [pack(at, count) for at, count in gather(doc, slots, DIM, len(offsets) - 1)]
+            rows += [at.astype(np.uint32).tobytes() for at, _ in gather(doc, slots, DIM, len(offsets) - 1)]
         yield pa.array(rows, pa.binary())
 
 
-def grades(vectors: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, levels: int = LEVELS) -> np.ndarray:
+def grades(vectors: list[np.ndarray], toxic: np.ndarray, levels: int = LEVELS) -> np.ndarray:
     """0 for clean texts; toxic ones by marker words held, in ``levels`` about equal parts."""
     held = {0: np.zeros(DIM), 1: np.zeros(DIM)}
-    for (at, _), y in zip(vectors, toxic, strict=True):
+    for at, y in zip(vectors, toxic, strict=True):
         held[int(y)][at] += 1
     share = {y: (held[y] + 0.5) / (max((toxic == y).sum(), 1) + 1) for y in held}
     marker = (held[1] >= MARKER_TEXTS) & (share[1] >= MARKER_RATIO * share[0])
-    hits = np.array([float((marker[at] * count).sum()) for at, count in vectors])
+    hits = np.array([float(marker[at].sum()) for at in vectors])
     out = np.zeros(len(toxic), np.int64)
     if (toxic == 1).any():
         cuts = np.quantile(hits[toxic == 1], np.arange(1, levels) / levels)
@@ -102,13 +102,13 @@ def apart(theta: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(theta - steps) + steps
 
 
-def fit(vectors: list[tuple[np.ndarray, np.ndarray]], grade: np.ndarray, order: np.ndarray, epochs: int = EPOCHS, levels: int = LEVELS, rate: float = 0.1) -> Severity:
+def fit(vectors: list[np.ndarray], grade: np.ndarray, order: np.ndarray, epochs: int = EPOCHS, levels: int = LEVELS, rate: float = 0.1) -> Severity:
     """Shared weights by FTRL, thresholds by gradient steps kept in order."""
     model, above = Leader(DIM, alpha=0.1, l1=3.0), [(grade >= k).mean() if len(grade) else 0.0 for k in range(1, levels + 1)]
     theta = apart(np.array([np.log((1 - p + 1e-4) / (p + 1e-4)) for p in above]))
     for epoch in range(epochs):
         for i in order:
-            at, _ = vectors[i]
+            at = vectors[i]
             weights = model.weights(at)
             chance = np.concatenate([[1.0], _sigmoid(weights.sum() - theta), [0.0]])
             k = grade[i]
@@ -135,7 +135,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     known = one_text(docs.join(F.broadcast(chosen), "doc_id"))
     order = F.xxhash64("text", "doc_id").alias("place")
     table = known.select(_sets("text").alias("vector"), F.col("label").cast("int").alias("label"), order).toArrow()
-    vectors, toxic = [unpack(v.as_py()) for v in table["vector"]], table["label"].to_numpy()
+    vectors, toxic = [np.frombuffer(v.as_py(), np.uint32) for v in table["vector"]], table["label"].to_numpy()
     return fit(vectors, grades(vectors, toxic), np.argsort(table["place"].to_numpy(), kind="stable"))
 
 
