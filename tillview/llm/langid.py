@@ -30,7 +30,7 @@ DIM = 1 << 15
 WIDTH = 16
 ORDERS = (2, 3, 4)
 #: Rows that the model is fitted and calibrated on, at most (about: chosen by hash).
-TRAIN_ROWS = 6000
+TRAIN_ROWS = 4000
 CALIBRATION_PART = 5
 EPOCHS = 12
 REJECT_SHARE = 0.001

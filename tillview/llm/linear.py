@@ -16,7 +16,7 @@ def pack(indices: np.ndarray, values: np.ndarray) -> bytes:
 
 def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = len(packed) // 8
-    return np.frombuffer(packed, np.uint32, n).astype(np.int64), np.frombuffer(packed, np.float32, n, 4 * n)
+    return np.frombuffer(packed, np.uint32, n), np.frombuffer(packed, np.float32, n, 4 * n)
 
 
 def gather(docs: np.ndarray, features: np.ndarray, dim: int, n: int) -> list[tuple[np.ndarray, np.ndarray]]:

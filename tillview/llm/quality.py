@@ -26,7 +26,7 @@ from tillview.llm.spans import blocks, mix, runs, span_hashes
 
 DIM = 1 << 18
 #: Labelled rows that the model is fitted on, at most (about: chosen by hash).
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 5000
 EPOCHS = 3
 #: A word's share of a text is small; this brings the values near one.
 SCALE = 20.0
