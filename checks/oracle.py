@@ -6,9 +6,10 @@ expressions, and every statement carries the ones it needs.
 
 from __future__ import annotations
 
+import math
 import re
 
-from checks.queries import CENTERS
+from checks.queries import CENTERS, FOREST
 
 AS_OF = "DATE '2001-08-01'"
 LOADED = "TIMESTAMP '2001-08-01 06:00:00'"
@@ -116,6 +117,30 @@ SELECT event_id, user_id, user_id::VARCHAR AS customer_id, ts - to_days(8218) AS
   regexp_extract(props, '([0-9]+)', 1)::INTEGER AS k, floor(value)::INTEGER AS whole
 FROM events"""
 
+VIEWS["v_crm_raw"] = f"""
+SELECT event_id::VARCHAR AS interaction_id, customer_id, happened AS interaction_date,
+  CASE WHEN event_type = 'error' THEN 'Complaint' ELSE 'Inquiry' END AS interaction_type, event_type AS reason,
+  {pick('event_id', 'Resolved', 'Pending', 'Closed', 'Escalated')} AS resolution_status,
+  {pick('k', 'ana', 'ben', 'cho')} AS agent_id, whole % 45 AS duration_minutes,
+  (event_id % 5 + 1)::INTEGER AS satisfaction_score, 'k=' || k::VARCHAR AS notes
+FROM v_events"""
+
+VIEWS["v_loyalty_raw"] = f"""
+SELECT event_id::VARCHAR AS event_id, customer_id, happened AS event_date, event_type,
+  CASE event_type WHEN 'purchase' THEN whole WHEN 'error' THEN -whole ELSE 0 END AS points_change,
+  k * 20 AS points_balance, {pick('user_id', 'Gold', 'Silver', 'Bronze', 'Platinum')} AS tier,
+  'k=' || k::VARCHAR AS description
+FROM v_events"""
+
+VIEWS["v_web_raw"] = f"""
+SELECT event_id::VARCHAR AS session_id, CASE WHEN event_type <> 'signup' THEN customer_id END AS customer_id,
+  happened AS session_date, {pick('event_id', 'Mobile', 'Desktop', 'Tablet')} AS device_type,
+  {pick('k', 'Firefox', 'Chrome')} AS browser, k % 12 AS page_views, floor(value * 3)::INTEGER AS session_duration_seconds,
+  event_type = 'error' AS bounce, event_type = 'purchase' AS conversion,
+  {pick('k', 'mail', 'search', 'direct')} AS utm_source, {pick('user_id', 'spring', 'fall')} AS utm_campaign,
+  '/home' AS landing_page, '/' || event_type AS exit_page
+FROM v_events"""
+
 # -- conformed ------------------------------------------------------------------
 VIEWS["v_customers"] = f"""
 SELECT *, CASE WHEN email IS NULL OR phone_cleaned IS NULL THEN 'Missing Contact Info'
@@ -505,9 +530,9 @@ FROM {v}_history h JOIN {v}_trend r ON h.series_id = r.series_id
 SELECT series_id, stddev_samp(y - prediction) AS sd FROM {v}_fitted GROUP BY series_id"""
     VIEWS[f"{v}_forecast"] = f"""
 SELECT series_id, date AS forecast_date, round(prediction, 4) AS predicted_revenue, NULL::DOUBLE AS lower_bound,
-  NULL::DOUBLE AS upper_bound, 'trend_weekday' AS model_type FROM {v}_fitted
+  NULL::DOUBLE AS upper_bound, 'trend_weekday' AS model_type, false AS is_future FROM {v}_fitted
 UNION ALL
-SELECT f.series_id, f.date, round(level, 4), round(level - 1.96 * sd, 4), round(level + 1.96 * sd, 4), 'trend_weekday'
+SELECT f.series_id, f.date, round(level, 4), round(level - 1.96 * sd, 4), round(level + 1.96 * sd, 4), 'trend_weekday', true
 FROM (SELECT a.series_id, a.date, base + slope * (last_t + step) + effect AS level
   FROM (SELECT r.series_id, base, slope, last_t, step, (last_date + step::INTEGER)::DATE AS date
     FROM {v}_trend r, (SELECT unnest(generate_series(1, 30)) AS step)) a
@@ -692,4 +717,105 @@ SELECTS["clv_future_set"] = """SELECT c.customer_id, historical_revenue, avg_tra
     recency_days::DOUBLE AS recency_days, customer_age_days::DOUBLE AS customer_age_days, coalesce(label, 0.0) AS label
     FROM v_past_clv c LEFT JOIN v_later l ON c.customer_id = l.customer_id"""
 
+# -- ingest from CSV ------------------------------------------------------------
+_STAMPS = f"""NULL::VARCHAR AS undeclared_fields, '' AS rejected_fields, {LOADED} AS ingestion_timestamp,
+  'part.csv' AS source_file, DATE '2001-08-01' AS bronze_load_date"""
+for _source, _view, _leave, _cast in (
+    ("customers", "v_customers_raw", "EXCLUDE (ingestion_timestamp)", ""),
+    ("products", "v_products_raw", "EXCLUDE (ingestion_timestamp)", f"REPLACE ({MONEY_PRODUCTS})"),
+    (
+        "transactions",
+        "v_transactions_raw",
+        "EXCLUDE (ingestion_timestamp)",
+        """REPLACE (unit_price::DOUBLE AS unit_price, discount_percent::DOUBLE AS discount_percent,
+          total_amount::DOUBLE AS total_amount, shipping_cost::DOUBLE AS shipping_cost)""",
+    ),
+    ("crm_interactions", "v_crm_raw", "", ""),
+    ("loyalty_events", "v_loyalty_raw", "", ""),
+    ("web_analytics", "v_web_raw", "", ""),
+    ("support_tickets", "v_tickets_raw", "", ""),
+):
+    SELECTS[f"ingest_{_source}"] = f"SELECT * {_leave} {_cast}, {_STAMPS} FROM {_view}"
+
+# -- quarantine, layers, current values -------------------------------------------
+SELECTS["quarantine_transactions"] = (
+    "SELECT transaction_id, product_id, data_quality_flag FROM v_flagged WHERE data_quality_flag <> 'Valid'"
+)
+SELECTS["latest_loyalty"] = """SELECT customer_id, tier, points_balance FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_date DESC, event_id DESC) AS place
+  FROM v_loyalty_raw) WHERE place = 1"""
+SELECTS["never_purchased"] = """SELECT customer_id, churn_risk_flag, total_transactions = 0 AS never_purchased FROM v_360"""
+SELECTS["layer_status"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS records, {width} AS columns, 'at path' AS status FROM {view}"
+    for name, view, width in (
+        ("customers_bronze", "v_customers_raw", 14),
+        ("products_bronze", "v_products_raw", 11),
+        ("customers_silver", "v_customers", 18),
+        ("products_silver", "v_products", 15),
+        ("transactions_silver", "v_lines", 27),
+        ("customer_rfm_gold", "v_rfm", 9),
+        ("sales_aggregated_gold", "v_daily", 15),
+    )
+) + " UNION ALL SELECT 'nothing_gold', NULL, NULL, 'missing'"
+SELECTS["segment_profile_joined"] = SELECTS["segment_profile"]
+SELECTS["segments_shape"] = """SELECT count(*) AS customers, count(DISTINCT customer_id) AS distinct_customers,
+  true AS one_name_each, true AS within_k FROM v_features"""
+
+# -- forecasts ------------------------------------------------------------------
+SELECTS["forecast_next_days_seasonal"] = """SELECT series_id, (last + step::INTEGER)::DATE AS forecast_date,
+  'seasonal_regression' AS model_type, true AS is_future
+  FROM v_all_span, (SELECT unnest(generate_series(1, 7)) AS step)"""
+SELECTS["forecast_seasonal_days"] = """SELECT series_id, false AS is_future, date_diff('day', min(date), max(date)) + 1 AS days,
+    min(date) AS first, max(date) AS last FROM v_series GROUP BY 1
+  UNION ALL SELECT series_id, true, 30, (max(date) + 1)::DATE, (max(date) + 30)::DATE FROM v_series GROUP BY 1"""
+SELECTS["forecast_skipped"] = """SELECT product_id AS series_id, count(*) AS days FROM (
+  SELECT product_id, transaction_date::DATE AS date FROM v_lines GROUP BY 1, 2 HAVING sum(revenue) IS NOT NULL)
+  GROUP BY 1 HAVING count(*) < 14"""
+
+# -- anomalies and metrics of fixed scores ------------------------------------------
+SELECTS["isolation_flags"] = """SELECT count(*) AS customers, ceil((count(*) - 1) * 0.05)::BIGINT AS flagged FROM v_features"""
+SELECTS["anomaly_flags"] = """SELECT customer_id, (score <= cut)::INTEGER AS is_anomaly, score AS anomaly_score
+  FROM (SELECT customer_id, -total_revenue::DOUBLE AS score FROM v_features),
+    (SELECT max(score) AS cut FROM (SELECT -total_revenue::DOUBLE AS score,
+      row_number() OVER (ORDER BY -total_revenue::DOUBLE) AS place, count(*) OVER () AS n FROM v_features)
+     WHERE place <= ceil((n - 1) * 0.05))"""
+
+
+def _mean_depth(rows: int) -> float:
+    """Of a search that fails, in a random binary tree."""
+    if rows <= 2:
+        return float(rows == 2)
+    return 2 * (math.log(rows - 1) + 0.5772156649015329) - 2 * (rows - 1) / rows
+
+
+def _tree_sql(tree: int, node: int = 0, depth: int = 0) -> str:
+    """The depth at which a tree ends, as nested CASE."""
+    names = ["total_transactions", "total_revenue", "avg_transaction_value", "return_rate", "days_since_last_purchase"]
+    _, _, feature, threshold, left, right, size = next(n for n in FOREST if n[:2] == (tree, node))
+    if feature < 0:
+        return repr(depth + _mean_depth(size))
+    value = f"coalesce({names[feature]}::DOUBLE, 0)"
+    return f"CASE WHEN {value} <= {threshold} THEN {_tree_sql(tree, left, depth + 1)} ELSE {_tree_sql(tree, right, depth + 1)} END"
+
+
+SELECTS["forest_scores"] = f"""SELECT customer_id,
+  round(-pow(2, -(({_tree_sql(0)}) + ({_tree_sql(1)})) / 2 / {_mean_depth(100)!r}), 9) AS anomaly_score FROM v_features"""
+VIEWS["v_linear"] = """SELECT is_churned AS label, (days_since_last_purchase - total_transactions)::DOUBLE AS score,
+  (days_since_last_purchase - total_transactions > 60)::INTEGER AS prediction FROM v_features"""
+VIEWS["v_cells"] = "SELECT label, prediction, count(*) AS count FROM v_linear GROUP BY 1, 2"
+SELECTS["linear_confusion"] = "SELECT * FROM v_cells"
+SELECTS["linear_metrics"] = """
+SELECT 'linear' AS model, 'auc_roc' AS metric, round((sum(place) FILTER (WHERE label = 1)
+    - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+    / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)), 9) AS value
+  FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM v_linear)
+UNION ALL SELECT 'linear', 'accuracy', round(avg((label = prediction)::INTEGER), 9) FROM v_linear
+UNION ALL SELECT 'linear', 'f1', round(sum(share * 2 * hits / (actual + guessed)), 9) FROM (
+  SELECT label, count(*) / (SELECT count(*) FROM v_linear)::DOUBLE AS share, count(*) AS actual,
+    count(*) FILTER (WHERE label = prediction) AS hits,
+    (SELECT count(*) FROM v_linear g WHERE g.prediction = l.label) AS guessed FROM v_linear l GROUP BY label)"""
+SELECTS["linear_regression_metrics"] = """SELECT round(sqrt(avg(e * e)), 6) AS rmse, round(avg(abs(e)), 6) AS mae,
+  round(1 - avg(e * e) / var_pop(y), 6) AS r2
+  FROM (SELECT predicted_clv_3yr::DOUBLE AS y, predicted_clv_3yr::DOUBLE - historical_revenue::DOUBLE * 0.5 AS e FROM v_clv)"""
+
 ORACLE.update({name: statement(select) for name, select in SELECTS.items()})

@@ -28,13 +28,15 @@ from tillview.operators import (
     sales,
     segments,
 )
-from tillview.operators.dedup import dedup_latest
+from tillview.operators.dedup import dedup_latest, latest_value_per_key
 from tillview.operators.profile import customer_profile, renamed
-from tillview.plans.medallion import Medallion
+from tillview.plans.medallion import Medallion, ingest_csv
 from tillview.sources.csv import stamp_load
 from tillview.sources.orderbook import AS_OF, LOADED_AT, OrderBook
+from tillview.sources.schemas import SOURCES
 from tillview.sources.staging import stage, staging_path
 from tillview.sources.tables import TableStore, count_tables
+from tillview.sources.tables import layer_summary as layer_summary_of
 
 # A fixed model to assign customers to: one centre per row, one coordinate per
 # segmentation feature.
@@ -110,6 +112,35 @@ def ingest_stamp(spark, folder):
     return stamped.withColumn("ingestion_timestamp", F.lit(LOADED_AT).cast("timestamp_ntz"))
 
 
+def _ingested(source: str) -> Query:
+    """Writes a derived source as CSV and ingests the file."""
+
+    def ingest(spark, folder):
+        raw = staging_path(spark, f"csv-{source}")
+        OrderBook(spark, folder).bronze()[source].drop("ingestion_timestamp").write.option("header", True).option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(raw)
+        store = TableStore(spark, staging_path(spark, "ingested"))
+        out = ingest_csv(store, source, raw, datetime.fromisoformat(LOADED_AT))
+        # instants without a zone, as DuckDB has them
+        times = {n: F.col(n).cast("timestamp_ntz") for n, kind in out.dtypes if kind == "timestamp"}
+        return out.withColumns(
+            {
+                **times,
+                "rejected_fields": F.array_join("rejected_fields", ","),
+                # part files are named at random
+                "source_file": F.regexp_replace("source_file", "^part-.*[.]csv$", "part.csv"),
+            }
+        )
+
+    ingest.__name__ = f"ingest_{source}"
+    return ingest
+
+
+for _source in SOURCES:
+    query(_ingested(_source))
+
+
 @query
 def conform_customers(spark, folder):
     return conform.conform_customers(OrderBook(spark, folder).customers(), AS_OF)
@@ -230,6 +261,31 @@ def layer_summary(spark, folder):
     return count_tables({f"{n}_silver": silver(spark, folder, n) for n in names})
 
 
+@query
+def layer_status(spark, folder):
+    """All layers with their status: two ingested tables, all others as they are
+    built, one that is not there."""
+    run = medallion(spark, folder)
+    bronze = [run.store.write(run.bronze(name), f"{name}_bronze") and f"{name}_bronze" for name in ("customers", "products")]
+    built = [f"{n}_silver" for n in ("customers", "products", "transactions")] + [f"{n}_gold" for n in ("customer_rfm", "sales_aggregated")]
+    for name in built:
+        run.table(name)
+    return layer_summary_of(run.store, [*bronze, *built, "nothing_gold"], prefer="path").drop("path")
+
+
+@query
+def quarantine_transactions(spark, folder):
+    out = medallion(spark, folder).table("transactions_quarantine_silver")
+    return out.select("transaction_id", "product_id", "data_quality_flag")
+
+
+@query
+def latest_loyalty(spark, folder):
+    """Current tier and balance per customer: those of the last event."""
+    events = silver(spark, folder, "loyalty_events")
+    return latest_value_per_key(events, ["customer_id"], ["tier", "points_balance"], ["event_date", "event_id"])
+
+
 # -- customer view ----------------------------------------------------------
 @query
 def transaction_metrics(spark, folder):
@@ -275,6 +331,12 @@ def top_customers_sql(spark, folder):
     return customer_view.top_customers_sql(spark, "customer360_silver_view")
 
 
+@query
+def never_purchased(spark, folder):
+    flagged = customer_view.with_never_purchased(silver(spark, folder, "customer360"))
+    return flagged.select("customer_id", "churn_risk_flag", "never_purchased")
+
+
 @query
 def health_distribution(spark, folder):
     return quality.health_distribution(silver(spark, folder, "customer360"))
@@ -295,7 +357,7 @@ def rfm_(spark, folder):
 
 @query
 def rfm_cutpoints(spark, folder):
-    cuts = rfm.rfm_cutpoints(rfm.rfm_base(lines(spark, folder), AS_OF))
+    cuts = rfm.rfm_cutpoints(stage(rfm.rfm_base(lines(spark, folder), AS_OF), "rfm-base"))
     return cuts.select(
         *[
             F.col(m)[i].cast("double").alias(f"{m}_q{(i + 1) * 20}")
@@ -477,6 +539,25 @@ def segment_profile(spark, folder):
     return segments.segment_profile(named)
 
 
+@query
+def segment_profile_joined(spark, folder):
+    """Measures that the segment table lacks come from the feature table."""
+    named = _assigned(spark, folder).select("customer_id", segments.segment_name().alias("segment_name"))
+    return segments.segment_profile(named, gold(spark, folder, "customer_features"))
+
+
+@query
+def segments_shape(spark, folder):
+    """Every customer has one cluster, and every cluster one name."""
+    found = segments.segment_customers(gold(spark, folder, "customer_features"))
+    return found.agg(
+        F.count("*").alias("customers"),
+        F.count_distinct("customer_id").alias("distinct_customers"),
+        (F.count_distinct("cluster") == F.count_distinct("cluster", "segment_name")).alias("one_name_each"),
+        (F.count_distinct("cluster") <= segments.CLUSTERS).alias("within_k"),
+    )
+
+
 @query
 def segments_kmeans(spark, folder):
     return segments.segment_customers(gold(spark, folder, "customer_features"))
@@ -528,12 +609,71 @@ def forecast_seasonal(spark, folder):
     return forecast.forecast_seasonal(_series(spark, folder))[0]
 
 
+@query
+def forecast_seasonal_days(spark, folder):
+    """Which days the seasonal forecast has, before and after the end of history."""
+    return (
+        forecast.forecast_seasonal(_series(spark, folder))[0]
+        .groupBy("series_id", "is_future")
+        .agg(F.count("*").alias("days"), F.min("forecast_date").alias("first"), F.max("forecast_date").alias("last"))
+    )
+
+
+@query
+def forecast_next_days_seasonal(spark, folder):
+    near = forecast.next_days(forecast.forecast_seasonal(_series(spark, folder))[0])
+    return near.select("series_id", "forecast_date", "model_type", "is_future")
+
+
+@query
+def forecast_skipped(spark, folder):
+    """One series per product: those with too few days."""
+    daily = lines(spark, folder).groupBy("product_id", F.to_date("transaction_date").alias("date")).agg(F.sum("revenue").alias("revenue"))
+    return forecast.skipped_series(forecast.revenue_series(daily, "product_id", "revenue"))
+
+
 # -- anomalies and models ---------------------------------------------------
 @query
 def isolation_forest(spark, folder):
     return anomaly.isolation_forest(gold(spark, folder, "customer_features"))
 
 
+@query
+def isolation_flags(spark, folder):
+    flagged = anomaly.isolation_forest(gold(spark, folder, "customer_features"))
+    return flagged.agg(F.count("*").alias("customers"), F.sum("is_anomaly").alias("flagged"))
+
+
+# A small forest: tree, node, feature, threshold, left, right, size.
+FOREST = [
+    (0, 0, 0, 38.0, 1, 2, 100),
+    (0, 1, -1, 0.0, -1, -1, 40),
+    (0, 2, 1, 14000.0, 3, 4, 60),
+    (0, 3, -1, 0.0, -1, -1, 59),
+    (0, 4, -1, 0.0, -1, -1, 1),
+    (1, 0, 4, 30.0, 1, 2, 100),
+    (1, 1, -1, 0.0, -1, -1, 98),
+    (1, 2, -1, 0.0, -1, -1, 2),
+]
+
+
+@query
+def forest_scores(spark, folder):
+    """Scores by a fixed forest in place of a fitted one."""
+    numbers = anomaly.anomaly_features(gold(spark, folder, "customer_features"))
+    forest = spark.createDataFrame(FOREST, anomaly.NODES)
+    return rounded(anomaly.score_forest(numbers, forest), 9, "anomaly_score")
+
+
+@query
+def anomaly_flags(spark, folder):
+    """The lowest scores of a fixed measure, by exact rank."""
+    scores = gold(spark, folder, "customer_features").select(
+        "customer_id", (-F.col("total_revenue").cast("double")).alias("anomaly_score")
+    )
+    return anomaly.flag_anomalies(scores)
+
+
 @query
 def top_anomalies(spark, folder):
     return anomaly.top_anomalies(
@@ -541,9 +681,26 @@ def top_anomalies(spark, folder):
     )
 
 
-def _churn_split(spark, folder, leak_free=True):
-    data = models.churn_training_set(gold(spark, folder, "customer_features"), leak_free)
-    return models.split_by_hash(stage(data, "churn-set"))
+_models: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark, folder, what: str, make):
+    """A session's model or training set, made once per folder."""
+    key = (spark.sparkContext.applicationId, folder, what)
+    if key not in _models:
+        _models[key] = make()
+    return _models[key]
+
+
+def _churn_split(spark, folder):
+    data = models.churn_training_set(gold(spark, folder, "customer_features"))
+    return models.split_by_hash(_once(spark, folder, "churn-set", lambda: stage(data, "churn-set")))
+
+
+def _churn_model(spark, folder, kind: str):
+    fit = {"lr": models.fit_churn_lr, "gbt": models.fit_churn_gbt}[kind]
+    train, _ = _churn_split(spark, folder)
+    return _once(spark, folder, kind, lambda: fit(train))
 
 
 @query
@@ -553,43 +710,75 @@ def churn_training_set(spark, folder):
 
 @query
 def churn_lr(spark, folder):
-    train, test = _churn_split(spark, folder)
-    return models.churn_predictions(models.fit_churn_lr(train), test)
+    _, test = _churn_split(spark, folder)
+    return models.churn_predictions(_churn_model(spark, folder, "lr"), test)
 
 
 @query
 def churn_gbt(spark, folder):
-    train, test = _churn_split(spark, folder)
-    return models.churn_predictions(models.fit_churn_gbt(train), test)
+    _, test = _churn_split(spark, folder)
+    return models.churn_predictions(_churn_model(spark, folder, "gbt"), test)
 
 
 @query
 def churn_importance(spark, folder):
-    train, _ = _churn_split(spark, folder)
-    ranked = models.feature_importance(models.fit_churn_gbt(train))
+    ranked = models.feature_importance(_churn_model(spark, folder, "gbt"))
     return spark.createDataFrame(ranked, "feature string, importance double")
 
 
 @query
 def churn_metrics(spark, folder):
-    train, test = _churn_split(spark, folder)
-    return models.binary_metrics(models.fit_churn_lr(train), test, "lr").unionByName(
-        models.binary_metrics(models.fit_churn_gbt(train), test, "gbt")
-    )
+    _, test = _churn_split(spark, folder)
+    parts = []
+    for kind in ("lr", "gbt"):
+        scored = stage(models.churn_predictions(_churn_model(spark, folder, kind), test), "scored")
+        parts.append(models.binary_metrics(scored, kind))
+    return parts[0].unionByName(parts[1])
 
 
 @query
 def churn_confusion(spark, folder):
-    train, test = _churn_split(spark, folder)
-    return models.confusion_matrix(models.churn_predictions(models.fit_churn_lr(train), test))
+    _, test = _churn_split(spark, folder)
+    return models.confusion_matrix(models.churn_predictions(_churn_model(spark, folder, "lr"), test))
+
+
+def _linear_churn(spark, folder) -> DataFrame:
+    """A fixed linear score in place of a fitted one."""
+    score = F.col("days_since_last_purchase") - F.col("total_transactions")
+    return gold(spark, folder, "customer_features").select(
+        F.col("is_churned").alias("label"),
+        (score > 60).cast("int").alias("prediction"),
+        score.cast("double").alias("churn_probability"),
+    )
+
+
+@query
+def linear_metrics(spark, folder):
+    """The metrics of a fixed score, but for the area under PR."""
+    return rounded(models.binary_metrics(_linear_churn(spark, folder), "linear").filter("metric != 'auc_pr'"), 9, "value")
+
+
+@query
+def linear_confusion(spark, folder):
+    return models.confusion_matrix(_linear_churn(spark, folder))
+
+
+@query
+def linear_regression_metrics(spark, folder):
+    """Errors of a fixed guess of the lifetime value."""
+    guess = gold(spark, folder, "customer_clv_features").select(
+        F.col("predicted_clv_3yr").cast("double").alias("label"),
+        (F.col("historical_revenue").cast("double") * 0.5).alias("prediction"),
+    )
+    return rounded(models.regression_metrics(guess), 6, "rmse", "mae", "r2")
 
 
 def _clv_predictions(spark, folder):
     data = models.clv_training_set(
         gold(spark, folder, "customer_clv_features"), gold(spark, folder, "customer_features")
     )
-    train, test = models.split_by_hash(stage(data, "clv-set"))
-    return models.clv_predictions(models.fit_clv_lr(train), test)
+    train, test = models.split_by_hash(_once(spark, folder, "clv-set", lambda: stage(data, "clv-set")))
+    return models.clv_predictions(_once(spark, folder, "clv", lambda: models.fit_clv_lr(train)), test)
 
 
 @query

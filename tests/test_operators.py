@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 from tillview.operators import conform, customer_view, features, lifetime, rfm, sales, segments
-from tillview.operators.dedup import dedup_latest
+from tillview.operators.dedup import dedup_latest, latest_value_per_key
 from tillview.operators.enrich import hot_keys, left_join_salted
 from tillview.operators.profile import customer_profile
+from tillview.operators.ranks import share_rank, values_at
 from tillview.sources.schemas import SOURCES
 
 AS_OF = date(2024, 6, 30)
@@ -82,7 +83,7 @@ def test_salted_join_equals_plain_join_with_a_hot_key_and_nulls(spark):
     )
     dim = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(0, 400)]], "k string, x int")
     hot = hot_keys(facts, "k", share=0.01)
-    assert one(spark.range(1).select(hot.alias("h")))["h"] == ["hot"]
+    assert [r.k for r in hot.collect()] == ["hot"]
     salted = left_join_salted(facts, dim, "k", hot, ["id"], salts=8)
     plain = facts.join(dim, "k", "left")
     assert salted.count() == 6000
@@ -319,3 +320,25 @@ def test_segment_profile_joins_what_is_missing(spark):
                                   "customer_id string, total_revenue double, total_transactions int, days_since_last_purchase int")
     got = [tuple(r) for r in segments.segment_profile(seg, feats).collect()]
     assert got == [(1, 1, 9.0, 9.0, 9.0), (0, 2, 1.5, 2.0, 4.0)]
+
+
+def test_ranks_are_exact_for_any_number_of_rows(spark):
+    """More distinct values than any sketch setting would hold, with repeats and NULLs."""
+    n = 250_000
+    df = spark.range(n).selectExpr("cast(id * 7919 % 250000 as int) as a", "cast(id % 10 as decimal(18,4)) as b", "if(id % 2 = 0, cast(id as bigint), null) as c", "cast(null as int) as d")
+    got = one(values_at(df, ["a", "b", "c", "d"], [share_rank("0.2"), share_rank("0.600001"), lambda rows: rows]))
+    assert got["a"] == [49_999, 150_000, n - 1]
+    assert [int(x) for x in got["b"]] == [1, 6, 9]
+    assert got["c"] == [2 * 24_999, 2 * 75_000, n - 2]
+    assert got["d"] in ([], None)
+
+
+def test_hot_keys_of_many_partitions(spark):
+    facts = spark.range(40_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k").repartition(90)
+    assert [r.k for r in hot_keys(facts, "k", share=0.01).collect()] == ["hot"]
+
+
+def test_latest_value_per_key(spark):
+    rows = [("a", 1, "x", 5), ("a", 3, "y", 1), ("a", None, "z", 9), ("b", 2, None, 4), ("b", 2, None, 7)]
+    df = spark.createDataFrame(rows, "k string, at int, v string, w int")
+    assert sorted(map(tuple, latest_value_per_key(df, ["k"], ["v", "w"], ["at"]).collect())) == [("a", "y", 1), ("b", None, 7)]

@@ -1,7 +1,10 @@
 """CSV binding, layered tables, staging, and the whole pipeline on CSV files."""
 
+import subprocess
+import sys
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,6 +131,28 @@ def test_staging_uses_the_sessions_folder(spark):
     assert staging_root(spark) in staged.inputFiles()[0]
 
 
+def test_undeclared_columns_are_kept(spark, tmp_path):
+    (tmp_path / "products.csv").write_text("product_id,margin,price\nP1,12.5,3\nP2,,x\n")
+    rows = scan_csv(spark, str(tmp_path / "products.csv"), SOURCES["products"]).orderBy("product_id").collect()
+    assert [r.undeclared_fields for r in rows] == ['{"margin":"12.5"}', "{}"]
+    assert rows[1].rejected_fields == ["price"]
+
+
+def test_staged_tables_can_be_dropped(tmp_path):
+    code = f"""
+import sys; sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pathlib import Path
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+from tillview.sources.staging import drop_staged, stage
+assert stage(spark.range(5), "five").count() == 5
+assert list(Path({str(tmp_path)!r}).rglob("*.parquet"))
+drop_staged(spark)
+assert not list(Path({str(tmp_path)!r}).rglob("*.parquet"))
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
 # -- the whole pipeline -----------------------------------------------------
 @pytest.fixture(scope="module")
 def lake(spark, tmp_path_factory):
@@ -159,10 +184,10 @@ def lake(spark, tmp_path_factory):
 
 
 EXPECTED = [
-    "customers_silver", "products_silver", "transactions_silver", "crm_interactions_silver", "loyalty_events_silver",
+    "customers_silver", "products_silver", "transactions_silver", "transactions_quarantine_silver", "crm_interactions_silver", "loyalty_events_silver",
     "web_analytics_silver", "support_tickets_silver", "customer360_silver", "customer_rfm_gold", "customer_features_gold",
-    "sales_aggregated_gold", "product_performance_gold", "customer_clv_features_gold", "customer_segments_gold",
-    "revenue_forecast_gold", "customer_anomalies_gold",
+    "sales_base_gold", "sales_levels_gold", "sales_aggregated_gold", "product_performance_gold", "customer_clv_features_gold", "customer_segments_gold",
+    "revenue_forecast_gold", "revenue_forecast_skipped_gold", "customer_anomalies_gold",
 ]
 
 
@@ -192,7 +217,7 @@ def test_output_columns(lake):
         "customer_id", "cluster", "total_transactions", "total_revenue", "days_since_last_purchase",
         "distinct_categories_purchased", "avg_transaction_value", "return_rate", "current_loyalty_points",
         "web_conversion_rate", "segment_name", "gold_load_timestamp"]
-    assert tables["customer_anomalies_gold"].columns == ["customer_id", "is_anomaly", "anomaly_score", "gold_load_timestamp"]
+    assert tables["customer_anomalies_gold"].columns == ["customer_id", "is_anomaly", "anomaly_score", "detection_timestamp", "gold_load_timestamp"]
 
 
 def test_totals_survive_the_layers(lake):

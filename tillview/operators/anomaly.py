@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillview.functions.measures import one_row
+from tillview.operators.ranks import value_at
 from tillview.sources.staging import stage
 
+# Functions of this module run on executors, which need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# The features of the model, by name.
 ANOMALY_FEATURES = [
     "total_transactions",
     "total_revenue",
@@ -22,10 +29,9 @@ ANOMALY_FEATURES = [
     "web_conversion_rate",
     "purchase_frequency",
 ]
-# Forest size, rows per tree, training pool, share of anomalies.
+# Forest size, rows per tree, share of anomalies.
 TREES = 100
 TREE_ROWS = 256
-POOL_ROWS = 20000
 CONTAMINATION = 0.05
 SEED = 42
 
@@ -57,40 +63,30 @@ def unsuccessful_path(n: np.ndarray) -> np.ndarray:
 
 
 def tree_samples(
-    numbers: DataFrame,
-    trees: int = TREES,
-    rows: int = TREE_ROWS,
-    pool: int = POOL_ROWS,
-    seed: int = SEED,
+    numbers: DataFrame, trees: int = TREES, rows: int = TREE_ROWS, seed: int = SEED
 ) -> DataFrame:
-    """``rows`` customers per tree, drawn without replacement.
+    """``rows`` customers per tree, drawn without replacement from all of them.
 
-    A hash of the id first picks a pool of about ``pool`` rows in one pass, and
-    each tree draws from the pool by a hash of its own: a row is repeated only
-    for the trees that draw it, so what is shuffled is bounded by trees x rows
-    however large the table is. Of its draws each tree keeps the smallest
-    hashes. The result depends on ids and seed only, not on the partitioning."""
+    Each tree draws by a hash of its own, a few times what it needs: a row is
+    repeated only for the trees that draw it, so what is shuffled is bounded by
+    trees x rows however large the table is. Of its draws each tree keeps the
+    smallest hashes. The result depends on ids and seed only, not on the
+    partitioning."""
     total = one_row(numbers.agg(F.count("*").alias("n")))["n"]
 
-    def share(mark: Column, wanted: int, of: Column) -> Column:
-        uniform = F.pmod(mark, F.lit(HASH_RANGE)).cast("double")
-        return uniform * of <= F.lit(float(HASH_RANGE) * wanted)
-
     def draw(tree: Column) -> Column:
-        return F.xxhash64(F.lit(seed), tree, F.col("customer_id"))
+        return F.pmod(F.xxhash64(F.lit(seed), tree, F.col("customer_id")), F.lit(HASH_RANGE))
 
-    in_pool = share(F.xxhash64(F.lit(seed), F.col("customer_id")), pool, total)
-    in_reach = F.least(total, F.lit(pool))
+    reach = F.lit(float(HASH_RANGE) * DRAWS_PER_ROW * rows)
     drawn = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda tree: share(draw(tree), DRAWS_PER_ROW * rows, F.col("in_reach")),
+        lambda tree: draw(tree).cast("double") * F.col("total") <= reach,
     )
     order = Window.partitionBy("tree").orderBy("draw", "customer_id")
     return (
-        numbers.filter(in_pool)
-        .withColumn("in_reach", in_reach)
+        numbers.withColumn("total", total)
         .withColumn("tree", F.explode(drawn))
-        .withColumn("draw", F.pmod(draw(F.col("tree")), F.lit(HASH_RANGE)))
+        .withColumn("draw", draw(F.col("tree")))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= rows)
     )
@@ -125,7 +121,6 @@ def fit_forest(
     numbers: DataFrame,
     trees: int = TREES,
     rows: int = TREE_ROWS,
-    pool: int = POOL_ROWS,
     seed: int = SEED,
 ) -> DataFrame:
     """The forest as a node table, at most trees x 2 x rows nodes. Each group
@@ -140,7 +135,7 @@ def fit_forest(
         nodes = _grow(sample[columns].to_numpy(dtype=float), tree, seed)
         return pd.DataFrame(nodes, columns=list(kinds)).astype({c: types[k] for c, k in kinds.items()})
 
-    return tree_samples(numbers, trees, rows, pool, seed).groupBy("tree").applyInPandas(grow, NODES)
+    return tree_samples(numbers, trees, rows, seed).groupBy("tree").applyInPandas(grow, NODES)
 
 
 def score_forest(numbers: DataFrame, forest: DataFrame) -> DataFrame:
@@ -182,6 +177,15 @@ def score_forest(numbers: DataFrame, forest: DataFrame) -> DataFrame:
     return numbers.mapInPandas(score, "customer_id string, anomaly_score double")
 
 
+def flag_anomalies(scores: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
+    """``is_anomaly`` beside the score: 1 for the ``ceil((n - 1) * contamination)``
+    lowest of n scores, and for scores equal to the highest of these. Runs a job."""
+    share = F.lit(str(contamination)).cast("decimal(9,8)")
+    cut = value_at(scores, "anomaly_score", lambda n: F.ceil((n - 1) * share), "double")
+    flag = F.coalesce(F.col("anomaly_score") <= cut, F.lit(False)).cast("int")
+    return scores.select("customer_id", flag.alias("is_anomaly"), "anomaly_score")
+
+
 def isolation_forest(
     features: DataFrame,
     columns: Sequence[str] = tuple(ANOMALY_FEATURES),
@@ -189,21 +193,13 @@ def isolation_forest(
     trees: int = TREES,
     seed: int = SEED,
 ) -> DataFrame:
-    """(customer_id, is_anomaly, anomaly_score) for every customer: anomalous
-    is a score below the ``contamination`` quantile of all scores.
+    """(customer_id, is_anomaly, anomaly_score) for every customer.
 
-    Runs jobs: the scores are staged, since the quantile needs them before the
-    flag can be set."""
+    Runs jobs: the scores are staged, since the cut needs them before the flag
+    can be set."""
     numbers = anomaly_features(features, columns)
     scores = stage(score_forest(numbers, fit_forest(numbers, trees, seed=seed)), "anomaly-scores")
-    cut = one_row(
-        scores.agg(F.percentile_approx("anomaly_score", F.lit(contamination), F.lit(10000)).alias("q"))
-    )["q"]
-    return scores.select(
-        "customer_id",
-        (F.col("anomaly_score") < cut).cast("int").alias("is_anomaly"),
-        "anomaly_score",
-    )
+    return flag_anomalies(scores, contamination)
 
 
 def top_anomalies(anomalies: DataFrame, features: DataFrame, n: int = 10) -> DataFrame:

@@ -135,6 +135,19 @@ def enrich_transactions(
     return flagged
 
 
+def conform_flagged(
+    flagged: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    keys_from: Mapping[str, DataFrame],
+    salts: int = 64,
+) -> DataFrame:
+    """The silver lines from deduplicated, flagged ones; what they leave out is
+    :func:`rejected`."""
+    lines = keep_valid(flagged)
+    return shape_transactions(enrich_transactions(lines, customers, products, keys_from, salts))
+
+
 def conform_transactions(
     bronze: DataFrame,
     customers: DataFrame,
@@ -146,9 +159,8 @@ def conform_transactions(
 
     One row is one (transaction, product); counts of ``transaction_id`` on
     this table therefore count order lines."""
-    lines = keep_valid(flag_transactions(bronze))
     keys_from = keys_from or {"customer_id": bronze, "product_id": bronze}
-    return shape_transactions(enrich_transactions(lines, customers, products, keys_from, salts))
+    return conform_flagged(flag_transactions(bronze), customers, products, keys_from, salts)
 
 
 def shape_transactions(lines: DataFrame) -> DataFrame:

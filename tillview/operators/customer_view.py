@@ -161,3 +161,10 @@ def top_customers_sql(spark: SparkSession, view: str, n: int = 10) -> DataFrame:
         LIMIT {int(n)}
         """
     )
+
+
+def with_never_purchased(customers: DataFrame) -> DataFrame:
+    """A flag beside the churn label and risk, which both count a customer without
+    purchases as safe. For tables with ``total_transactions``."""
+    bought = F.coalesce(F.col("total_transactions"), F.lit(0)) > 0
+    return customers.withColumn("never_purchased", ~bought)

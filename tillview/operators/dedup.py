@@ -29,3 +29,13 @@ def dedup_latest(
     order = [F.col(latest).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in tie_break]]
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
+
+
+def latest_value_per_key(
+    df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """Per key the ``values`` of its row that is last by ``order``, combined
+    before the shuffle. Rows with a NULL in ``order`` come first; ties go to the
+    greatest values."""
+    last = F.max_by(F.struct(*values), F.struct(*order, *values)).alias("_last")
+    return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{v}").alias(v) for v in values])

@@ -4,55 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillview.functions.measures import one_row
+SALT, HOT = "_salt", "_hot"
 
-SALT = "_salt"
 
+# Tasks that merge the scan tasks' sketches before one task merges theirs.
+MERGERS = 64
 
-def hot_keys(facts: DataFrame, key: str, share: float = 0.001) -> Column:
-    """An array of the key values that may hold more than ``share`` of the rows.
 
-    A frequent-items sketch over the key column alone: map-side partials of
-    bounded size, no shuffle of keys. At most ``1.25 / share`` values can pass,
-    whatever the data. The list steers how the join is split and never what it
-    returns, so the sketch's error cannot change a result.
+def hot_keys(facts: DataFrame, key: str, share: float = 0.001) -> DataFrame:
+    """The key values that may hold more than ``share`` of the rows.
+
+    A frequent-items sketch over the key column alone, of bounded size: every
+    scan task makes one, a fixed number of tasks merge them and one task merges
+    theirs. At most ``1.25 / share`` values can pass, whatever the data. The
+    list steers how the join is split and never what it returns, so the sketch's
+    error cannot change a result.
     """
     capacity = int(4 / share)
     most = min(int(1.25 / share), capacity)
-    sketch = facts.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k({key}, {most}, {capacity})").alias("items"),
-        F.count("*").alias("rows"),
+    known = facts.filter(F.col(key).isNotNull())
+    merged = (
+        known.groupBy((F.spark_partition_id() % MERGERS).alias("merger"))
+        .agg(F.expr(f"approx_top_k_accumulate({key}, {capacity})").alias("items"), F.count("*").alias("rows"))
+        .agg(F.expr(f"approx_top_k_combine(items, {capacity})").alias("items"), F.sum("rows").alias("rows"))
     )
-    frequent = F.filter("items", lambda i: i["count"] > F.col("rows") * F.lit(share))
-    hot = sketch.select(F.transform(frequent, lambda i: i["item"]).alias("hot"))
-    return one_row(hot)["hot"]
+    counted = merged.select("rows", F.explode(F.expr(f"approx_top_k_estimate(items, {most})")).alias("i"))
+    return counted.filter(F.col("i.count") > F.col("rows") * F.lit(share)).select(F.col("i.item").alias(key))
 
 
 def left_join_salted(
     facts: DataFrame,
     dim: DataFrame,
     key: str,
-    hot: Column,
+    hot: DataFrame,
     spread_by: Sequence[str],
     salts: int = 64,
 ) -> DataFrame:
-    """``facts`` left join ``dim`` on ``key`` with hot keys split into ``salts``.
+    """``facts`` left join ``dim`` on ``key`` with the keys of ``hot`` split into ``salts``.
 
     Fact rows of a hot key take a salt from the hash of ``spread_by``; all
     others have salt 0. The dimension repeats its rows of hot keys, and only
     those, once per salt. NULL keys match nothing and are spread as well.
-    ``dim`` must be unique on ``key``.
+    ``dim`` must be unique on ``key``. ``hot`` is a list of bounded length, see
+    :func:`hot_keys`, and is looked up by hash on both sides.
     """
+    listed = F.broadcast(hot.select(key, F.lit(True).alias(HOT)))
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    is_hot = F.array_contains(hot, F.col(key))
-    salted_facts = facts.withColumn(
-        SALT, F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0))
+    split = F.col(key).isNull() | F.col(HOT).isNotNull()
+    salted_facts = (
+        facts.join(listed, key, "left").withColumn(SALT, F.when(split, spread).otherwise(F.lit(0))).drop(HOT)
     )
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_dim = dim.withColumn(
-        SALT, F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0))))
+    salted_dim = (
+        dim.join(listed, key, "left")
+        .withColumn(SALT, F.explode(F.when(F.col(HOT), all_salts).otherwise(F.array(F.lit(0)))))
+        .drop(HOT)
     )
     return salted_facts.join(salted_dim, [key, SALT], "left").drop(SALT)

@@ -31,6 +31,7 @@ OUTPUT = [
     "lower_bound",
     "upper_bound",
     "model_type",
+    "is_future",
 ]
 
 
@@ -117,7 +118,13 @@ def fit_trend_weekday(
 
 
 def _output(
-    df: DataFrame, when: Column, prediction: Column, lower: Column, upper: Column, model: str
+    df: DataFrame,
+    when: Column,
+    prediction: Column,
+    lower: Column,
+    upper: Column,
+    model: str,
+    future: Column,
 ) -> DataFrame:
     return df.select(
         "series_id",
@@ -126,6 +133,7 @@ def _output(
         lower.alias("lower_bound"),
         upper.alias("upper_bound"),
         F.lit(model).alias("model_type"),
+        future.alias("is_future"),
     )
 
 
@@ -147,21 +155,14 @@ def forecast_trend_weekday(fitted: DataFrame, horizon: int = HORIZON) -> DataFra
     level = F.col("prediction") + F.col("slope") * F.col("shift")
     margin = F.when(F.col("week") > 0, F.lit(Z95) * F.col("sd"))
     when = F.date_add("date", F.col("shift"))
-    return _output(rows, when, level, level - margin, level + margin, "trend_weekday")
+    return _output(rows, when, level, level - margin, level + margin, "trend_weekday", F.col("week") > 0)
 
 
 def next_days(forecast: DataFrame, n: int = 7) -> DataFrame:
-    """The first ``n`` future days of each series. Rows with bounds are future
-    ones; a forecast that bounds its past too needs its own date filter."""
-    first = F.min(F.when(F.col("lower_bound").isNotNull(), F.col("forecast_date"))).over(_series())
-    return (
-        forecast.withColumn("first", first)
-        .filter(
-            (F.col("forecast_date") >= F.col("first"))
-            & (F.col("forecast_date") < F.date_add("first", n))
-        )
-        .select(*OUTPUT)
-    )
+    """The first ``n`` days after each series' history."""
+    first = F.min(F.when(F.col("is_future"), F.col("forecast_date"))).over(_series())
+    near = F.col("is_future") & (F.col("forecast_date") < F.date_add(first, n))
+    return forecast.withColumn("near", near).filter("near").select(*OUTPUT)
 
 
 def forecast_metrics(fitted: DataFrame) -> DataFrame:
@@ -255,8 +256,11 @@ def forecast_seasonal(
     spread = one_row(fitted.agg(F.stddev_samp(F.col("y") - F.col("prediction")).alias("sd")))["sd"]
     name = "seasonal_regression"
     level, margin = F.col("prediction"), F.lit(Z80) * spread
-    every_day = fitted.select("series_id", "date", "prediction").unionByName(
-        predicted(future).select("series_id", "date", "prediction")
+    day = ["series_id", "date", "prediction"]
+    every_day = fitted.select(*day, F.lit(False).alias("future")).unionByName(
+        predicted(future).select(*day, F.lit(True).alias("future"))
+    )
+    out = _output(
+        every_day, F.col("date"), level, level - margin, level + margin, name, F.col("future")
     )
-    out = _output(every_day, F.col("date"), level, level - margin, level + margin, name)
     return out, fitted

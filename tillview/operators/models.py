@@ -11,10 +11,7 @@ from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import (
-    BinaryClassificationEvaluator,
-    MulticlassClassificationEvaluator,
-)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -193,18 +190,29 @@ def clv_predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
     return model.transform(test).select("customer_id", "label", "prediction")
 
 
-def binary_metrics(model: PipelineModel, test: DataFrame, name: str) -> DataFrame:
-    """(model, metric, value): area under ROC and PR, accuracy and F1."""
-    scored = model.transform(test).select("label", "rawPrediction", "prediction")
-    ranking = BinaryClassificationEvaluator()
-    classes = MulticlassClassificationEvaluator()
+def binary_metrics(
+    predictions: DataFrame, name: str, score: str = "churn_probability"
+) -> DataFrame:
+    """(model, metric, value) of scored rows (label, prediction, ``score``): areas
+    under ROC and PR over every distinct score, accuracy, and F1 weighted by the
+    classes' sizes. Runs jobs; the rows should be a stored table."""
+    ranked = predictions.select(F.col("label").cast("double"), F.col(score).alias("score"))
+    # 0 bins: exact, however many scores there are
+    ranking = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
+    cells = {(r["label"], r["prediction"]): r["count"] for r in confusion_matrix(predictions).collect()}
+    rows = sum(cells.values())
+    f1 = 0.0
+    for side in {label for label, _ in cells}:
+        actual = sum(n for (label, _), n in cells.items() if label == side)
+        guessed = sum(n for (_, guess), n in cells.items() if guess == side)
+        f1 += actual / rows * 2 * cells.get((side, side), 0) / (actual + guessed)
     values = [
-        ("auc_roc", ranking.evaluate(scored, {ranking.metricName: "areaUnderROC"})),
-        ("auc_pr", ranking.evaluate(scored, {ranking.metricName: "areaUnderPR"})),
-        ("accuracy", classes.evaluate(scored, {classes.metricName: "accuracy"})),
-        ("f1", classes.evaluate(scored, {classes.metricName: "f1"})),
+        ("auc_roc", ranking.evaluate(ranked, {ranking.metricName: "areaUnderROC"})),
+        ("auc_pr", ranking.evaluate(ranked, {ranking.metricName: "areaUnderPR"})),
+        ("accuracy", sum(n for (label, guess), n in cells.items() if label == guess) / rows if rows else 0.0),
+        ("f1", f1),
     ]
-    return test.sparkSession.createDataFrame(
+    return predictions.sparkSession.createDataFrame(
         [(name, metric, float(value)) for metric, value in values],
         "model string, metric string, value double",
     )

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tillview.functions import policies
 from tillview.functions.measures import one_row
 from tillview.operators.profile import customer_profile, renamed
+from tillview.operators.ranks import share_rank, values_at
+from tillview.sources.staging import stage
 
 # output column -> profile measure
 RFM_MEASURES = {
@@ -17,8 +19,6 @@ RFM_MEASURES = {
     "frequency": "order_count",
     "monetary_value": "revenue_sum",
 }
-# Rank error of a cut point: at most customers / ACCURACY places.
-ACCURACY = 100_000
 
 
 def rfm_base(lines: DataFrame, as_of: date) -> DataFrame:
@@ -26,16 +26,10 @@ def rfm_base(lines: DataFrame, as_of: date) -> DataFrame:
     return renamed(customer_profile(lines, as_of, list(RFM_MEASURES.values())), RFM_MEASURES)
 
 
-def rfm_cutpoints(base: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
-    """One row with an array of four cut points per measure.
-
-    A mergeable sketch, exact up to ``accuracy`` customers and off by at most
-    n / accuracy ranks beyond; it stays on the executors, and its state is
-    bounded by the accuracy, not by the data."""
-    quantiles = F.array(*[F.lit(q) for q in policies.RFM_QUANTILES])
-    return base.agg(
-        *[F.percentile_approx(m, quantiles, F.lit(accuracy)).alias(m) for m in RFM_MEASURES]
-    )
+def rfm_cutpoints(base: DataFrame) -> DataFrame:
+    """One row with an array of four cut points per measure, exact for any
+    number of customers. Runs a job."""
+    return values_at(base, list(RFM_MEASURES), [share_rank(str(q)) for q in policies.RFM_QUANTILES])
 
 
 def _quintile(measure: str, passes: str) -> Column:
@@ -51,7 +45,8 @@ def _quintile(measure: str, passes: str) -> Column:
 def score_rfm(base: DataFrame) -> DataFrame:
     """Scores 1..5 per measure, their sum 3..15 and the segment.
 
-    The cut points arrive as a scalar subquery: no join and no driver step."""
+    The cut points arrive as a scalar subquery: no join and no driver step.
+    ``base`` is read twice, so it should be a stored table. Runs a job."""
     scored = base.withColumn("_cuts", one_row(rfm_cutpoints(base))).withColumns(
         {
             "recency_score": _quintile("recency_days", "<="),
@@ -65,4 +60,5 @@ def score_rfm(base: DataFrame) -> DataFrame:
 
 
 def rfm(lines: DataFrame, as_of: date) -> DataFrame:
-    return score_rfm(rfm_base(lines, as_of))
+    """Scores from the lines, which are read once. Runs jobs."""
+    return score_rfm(stage(rfm_base(lines, as_of), "rfm-base"))

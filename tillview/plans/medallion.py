@@ -10,6 +10,7 @@ import threading
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from tillview.operators import (
     segments,
 )
 from tillview.operators.profile import customer_profile, renamed
-from tillview.sources.csv import scan_csv, stamp_load
+from tillview.sources.csv import rejected_rows, scan_csv, stamp_load
 from tillview.sources.schemas import SOURCES
 from tillview.sources.staging import stage
 from tillview.sources.tables import TableStore
@@ -50,6 +51,22 @@ def ingest_folder(store: TableStore, folder: str, load_ts: datetime) -> dict[str
     }
 
 
+def write_rejected_fields(store: TableStore, bronze: Mapping[str, DataFrame]) -> DataFrame:
+    """One quarantine table over all sources: rows with fields that did not parse,
+    by source and key; the rows themselves stay in bronze with NULL there."""
+    parts = [
+        rejected_rows(df).select(
+            F.lit(name).alias("source"),
+            F.concat_ws("|", *SOURCES[name].key).alias("key"),
+            "rejected_fields",
+            "source_file",
+            "ingestion_timestamp",
+        )
+        for name, df in bronze.items()
+    ]
+    return store.write(reduce(DataFrame.unionByName, parts), "rejected_fields_bronze")
+
+
 @dataclass
 class Medallion:
     """Silver and gold tables over a store, built on first use.
@@ -85,12 +102,14 @@ class Medallion:
             "products_silver": lambda: conform.conform_products(
                 self.bronze("products"), self.as_of
             ),
-            "transactions_silver": lambda: conform.conform_transactions(
-                self.bronze("transactions"),
+            "transactions_silver": lambda: conform.conform_flagged(
+                self._flagged(),
                 self.table("customers_silver"),
                 self.table("products_silver"),
-                self.key_tables,
+                self.key_tables
+                or dict.fromkeys(("customer_id", "product_id"), self.bronze("transactions")),
             ),
+            "transactions_quarantine_silver": lambda: conform.rejected(self._flagged()),
             "crm_interactions_silver": lambda: conform.conform_crm(self.bronze("crm_interactions")),
             "loyalty_events_silver": lambda: conform.conform_loyalty(self.bronze("loyalty_events")),
             "web_analytics_silver": lambda: conform.conform_web(self.bronze("web_analytics")),
@@ -104,7 +123,11 @@ class Medallion:
                 renamed(self._profile(), rfm.RFM_MEASURES)
             ),
             "customer_features_gold": self._features,
-            "sales_aggregated_gold": lambda: sales.sales_daily(self.table("transactions_silver")),
+            "sales_base_gold": lambda: sales.sales_base(self.table("transactions_silver")),
+            "sales_levels_gold": lambda: sales.all_levels(self.table("sales_base_gold")),
+            "sales_aggregated_gold": lambda: self.table("sales_levels_gold")
+            .filter("aggregation_level = 'daily'")
+            .select(*sales.SALES_COLUMNS),
             "product_performance_gold": lambda: sales.product_performance(
                 self.table("transactions_silver"), self.table("products_silver"), self.as_of
             ),
@@ -114,16 +137,31 @@ class Medallion:
             "customer_segments_gold": lambda: segments.segment_customers(
                 self.table("customer_features_gold")
             ),
-            "revenue_forecast_gold": lambda: forecast.forecast_trend_weekday(
-                forecast.fit_trend_weekday(
-                    forecast.revenue_series(self.table("sales_aggregated_gold"))
-                )
+            "revenue_forecast_gold": lambda: self._stamped(
+                forecast.forecast_trend_weekday(forecast.fit_trend_weekday(self._series())),
+                "forecast_timestamp",
             ),
-            "customer_anomalies_gold": lambda: anomaly.isolation_forest(
-                self.table("customer_features_gold")
+            "revenue_forecast_skipped_gold": lambda: forecast.skipped_series(self._series()),
+            "customer_anomalies_gold": lambda: self._stamped(
+                anomaly.isolation_forest(self.table("customer_features_gold")),
+                "detection_timestamp",
             ),
         }
 
+    def _series(self) -> DataFrame:
+        return forecast.revenue_series(self.table("sales_aggregated_gold"))
+
+    def _stamped(self, df: DataFrame, column: str) -> DataFrame:
+        """When a model's output was made: the run's load time, where it has one."""
+        return df if self.load_ts is None else df.withColumn(column, F.lit(self.load_ts))
+
+    def _flagged(self) -> DataFrame:
+        """Deduplicated, flagged lines: read for the valid and for the rejected ones."""
+        if "_flagged" not in self._built:
+            flagged = conform.flag_transactions(self.bronze("transactions"))
+            self._built["_flagged"] = stage(flagged, "flagged-transactions")
+        return self._built["_flagged"]
+
     def _facts(self) -> list[DataFrame]:
         names = ("customers", "transactions", "loyalty_events", "crm_interactions")
         names += ("web_analytics", "support_tickets")
@@ -192,8 +230,18 @@ def run_csv_pipeline(
     as_of: date,
     load_ts: datetime,
     database: str | None = None,
+    artifacts: str | None = None,
 ) -> dict[str, DataFrame]:
-    """CSV folder to every silver, gold and prediction table."""
+    """CSV folder to every silver and gold table, segments, forecast and anomalies
+    included. With ``artifacts`` the churn and lifetime-value models are fitted and
+    saved there, and with ``database`` the feature catalog is written."""
     store = TableStore(spark, root, database=database)
     bronze = ingest_folder(store, raw, load_ts)
-    return Medallion(store, as_of, bronze.__getitem__, load_ts).run()
+    write_rejected_fields(store, bronze)
+    medallion = Medallion(store, as_of, bronze.__getitem__, load_ts)
+    tables = medallion.run()
+    if artifacts is not None:
+        train_models(medallion, artifacts)
+    if database is not None:
+        write_feature_catalog(store, load_ts)
+    return tables

@@ -12,6 +12,7 @@ from tillview.sources.schemas import Source
 
 CORRUPT = "_corrupt_line"
 REJECTED = "rejected_fields"
+UNDECLARED = "undeclared_fields"
 FILE_NAME = "_file_name"
 
 
@@ -29,7 +30,8 @@ def scan_csv(spark: SparkSession, path: str, source: Source) -> DataFrame:
     spelling of it) and cast; a column the file lacks is NULL. A value that
     does not cast becomes NULL and its column is listed in
     ``rejected_fields``; a line with the wrong number of fields lists
-    ``_corrupt_line``. No row is dropped. If the files of a folder disagree on
+    ``_corrupt_line``. Columns that are not declared are kept as JSON text in
+    ``undeclared_fields``. No row is dropped. If the files of a folder disagree on
     their header the read fails rather than mixing columns up.
     """
     header = spark.read.option("header", True).csv(path).columns
@@ -59,8 +61,12 @@ def scan_csv(spark: SparkSession, path: str, source: Source) -> DataFrame:
         value = F.trim(text).try_cast(kind)
         columns.append(value.alias(name))
         rejects.append(F.when(text.isNotNull() & value.isNull(), F.lit(name)))
+    bound = {field_of[f.name] for f in source.schema if f.name in field_of}
+    others = [F.col(f"`{h}`") for h in header if h not in bound]
+    undeclared = F.to_json(F.struct(*others)) if others else F.lit(None).cast("string")
     return raw.select(
         *columns,
+        undeclared.alias(UNDECLARED),
         F.array_compact(F.array(*rejects)).alias(REJECTED),
         F.col("_metadata.file_name").alias(FILE_NAME),
     )

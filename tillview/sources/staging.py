@@ -7,6 +7,7 @@ by every later branch.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def staging_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
     root = tempfile.mkdtemp(prefix="tillview-")
     spark.conf.set(SETTING, root)
@@ -37,3 +38,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all tables that this application has staged. Tables returned by
+    operators that stage can't be read any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{staging_root(spark)}/tillview/{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
