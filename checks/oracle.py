@@ -76,7 +76,7 @@ VIEWS["v_products_raw"] = f"""
 SELECT p_partkey::VARCHAR AS product_id, ' ' || p_name AS product_name, p_type AS category,
   p_type || '_sub' AS subcategory, p_brand AS brand,
   CASE WHEN p_size = 49 THEN 0::DECIMAL(18,4) ELSE p_retailprice::DECIMAL(18,4) END AS price,
-  (p_retailprice::DECIMAL(12,2) * CASE WHEN p_size = 50 THEN 1.20::DECIMAL(3,2) ELSE 0.65::DECIMAL(3,2) END)::DECIMAL(18,4) AS cost,
+  CASE WHEN p_size = 48 THEN 0::DECIMAL(18,4) ELSE (p_retailprice::DECIMAL(12,2) * CASE WHEN p_size = 50 THEN 1.20::DECIMAL(3,2) ELSE 0.65::DECIMAL(3,2) END)::DECIMAL(18,4) END AS cost,
   (p_size - 1) * 2 AS stock_quantity,
   'S' || (p_partkey % 10)::VARCHAR AS supplier_id,
   DATE '1990-01-01' + (p_partkey % 3000)::INTEGER AS launch_date,
@@ -84,14 +84,16 @@ SELECT p_partkey::VARCHAR AS product_id, ' ' || p_name AS product_name, p_type A
 FROM part"""
 
 VIEWS["v_transactions_raw"] = """
-SELECT l_orderkey::VARCHAR AS transaction_id, o_custkey::VARCHAR AS customer_id,
-  l_partkey::VARCHAR AS product_id,
-  o_orderdate + to_hours((o_orderkey % 24)::INTEGER) AS transaction_date,
+SELECT l_orderkey::VARCHAR AS transaction_id, CASE WHEN l_orderkey % 97 <> 0 THEN o_custkey::VARCHAR END AS customer_id,
+  CASE WHEN l_orderkey % 101 <> 0 OR l_linenumber <> 2 THEN l_partkey::VARCHAR END AS product_id,
+  o_orderdate + to_hours((o_orderkey % 24)::INTEGER)
+    - to_days(CASE l_partkey % 10 WHEN 0 THEN 400 WHEN 1 THEN 150 ELSE 0 END) AS transaction_date,
   l_quantity::INTEGER - 1 AS quantity,
   (l_extendedprice::DECIMAL(14,2) * 0.01::DECIMAL(3,2))::DECIMAL(18,4) AS unit_price,
   (l_discount::DECIMAL(4,2) * 100)::DECIMAL(9,4) AS discount_percent,
   ((l_extendedprice::DECIMAL(14,2) * 0.01::DECIMAL(3,2))::DECIMAL(18,4)
-    * (1::DECIMAL(4,2) - l_discount::DECIMAL(4,2)))::DECIMAL(18,4) AS total_amount,
+    * (1::DECIMAL(4,2) - l_discount::DECIMAL(4,2))
+    * CASE WHEN l_orderkey % 89 = 0 AND l_linenumber = 1 THEN -1 ELSE 1 END)::DECIMAL(18,4) AS total_amount,
   CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN 'Credit Card'
        WHEN o_orderpriority = '2-HIGH' THEN 'PayPal' ELSE 'Debit Card' END AS payment_method,
   CASE o_orderstatus WHEN 'F' THEN 'Online' WHEN 'O' THEN 'Store' ELSE 'Mobile App' END AS channel,
@@ -99,7 +101,7 @@ SELECT l_orderkey::VARCHAR AS transaction_id, o_custkey::VARCHAR AS customer_id,
   l_tax::DECIMAL(4,2)::DECIMAL(18,4) AS shipping_cost,
   CASE l_returnflag WHEN 'R' THEN 'Returned' WHEN 'A' THEN 'Cancelled' ELSE 'Completed' END AS order_status,
   l_shipdate AS ingestion_timestamp
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey"""
 
 VIEWS["v_tickets_raw"] = f"""
 SELECT o_orderkey::VARCHAR AS ticket_id, o_custkey::VARCHAR AS customer_id, o_orderdate AS created_date,
@@ -770,7 +772,7 @@ SELECTS["forecast_seasonal_days"] = """SELECT series_id, false AS is_future, dat
   UNION ALL SELECT series_id, true, 30, (max(date) + 1)::DATE, (max(date) + 30)::DATE FROM v_series GROUP BY 1"""
 SELECTS["forecast_skipped"] = """SELECT product_id AS series_id, count(*) AS days FROM (
   SELECT product_id, transaction_date::DATE AS date FROM v_lines GROUP BY 1, 2 HAVING sum(revenue) IS NOT NULL)
-  GROUP BY 1 HAVING count(*) < 14"""
+  GROUP BY 1 HAVING count(*) < 28"""
 
 # -- anomalies and metrics of fixed scores ------------------------------------------
 SELECTS["isolation_flags"] = """SELECT count(*) AS customers, ceil((count(*) - 1) * 0.05)::BIGINT AS flagged FROM v_features"""

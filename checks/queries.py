@@ -629,7 +629,7 @@ def forecast_next_days_seasonal(spark, folder):
 def forecast_skipped(spark, folder):
     """One series per product: those with too few days."""
     daily = lines(spark, folder).groupBy("product_id", F.to_date("transaction_date").alias("date")).agg(F.sum("revenue").alias("revenue"))
-    return forecast.skipped_series(forecast.revenue_series(daily, "product_id", "revenue"))
+    return forecast.skipped_series(forecast.revenue_series(daily, "product_id", "revenue"), min_days=28)
 
 
 # -- anomalies and models ---------------------------------------------------

@@ -12,6 +12,7 @@ from tillview.functions.measures import days_until, mean, ratio, rows_where, sum
 from tillview.operators.profile import customer_profile, renamed
 
 # output column -> profile measure
+# The names of the feature table's columns.
 TRANSACTION_FEATURES = {
     "total_transactions": "line_count",
     "total_revenue": "revenue_sum",

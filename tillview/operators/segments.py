@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillview.functions.measures import exact_mean, one_row, select_available
 
+# The features of the segmentation, by name.
 SEGMENT_FEATURES = [
     "total_transactions",
     "total_revenue",

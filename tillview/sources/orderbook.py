@@ -95,7 +95,7 @@ class OrderBook:
             F.concat(F.col("p_type"), F.lit("_sub")).alias("subcategory"),
             F.col("p_brand").alias("brand"),
             price.alias("price"),
-            (listed * factor).cast(MONEY).alias("cost"),
+            F.when(size == 48, F.lit(0)).otherwise(listed * factor).cast(MONEY).alias("cost"),
             ((size - 1) * 2).alias("stock_quantity"),
             F.concat(F.lit("S"), (F.col("p_partkey") % 10).cast("string")).alias("supplier_id"),
             F.date_add(F.lit(date(1990, 1, 1)), (F.col("p_partkey") % 3000).cast("int")).alias(
@@ -105,7 +105,9 @@ class OrderBook:
         )
 
     def transactions(self) -> DataFrame:
-        """One row per order line; the order's hour comes from its key."""
+        """One row per order line; the order's hour comes from its key. Some lines have
+        no customer or product or a negative amount, and two tenths of the products
+        were last sold earlier."""
         unit = (F.col("l_extendedprice").cast("decimal(14,2)") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)
         share = F.col("l_discount").cast("decimal(4,2)")
         hours = F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
@@ -119,18 +121,23 @@ class OrderBook:
             F.col("o_orderpriority") == "2-HIGH", "PayPal"
         )
         one = F.lit(1).cast("decimal(4,2)")
+        refunded = (F.col("l_orderkey") % 89 == 0) & (F.col("l_linenumber") == 1)
+        sign = F.when(refunded, F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
+        tenth = F.col("l_partkey") % 10
+        days = F.when(tenth == 0, F.lit(400)).when(tenth == 1, F.lit(150)).otherwise(F.lit(0))
+        early = F.make_dt_interval(days)
         return (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
             .select(
                 _text("l_orderkey").alias("transaction_id"),
-                _text("o_custkey").alias("customer_id"),
-                _text("l_partkey").alias("product_id"),
-                (F.col("o_orderdate") + hours).alias("transaction_date"),
+                F.when(F.col("l_orderkey") % 97 != 0, _text("o_custkey")).alias("customer_id"),
+                F.when((F.col("l_orderkey") % 101 != 0) | (F.col("l_linenumber") != 2), _text("l_partkey")).alias("product_id"),
+                (F.col("o_orderdate") + hours - early).alias("transaction_date"),
                 (F.col("l_quantity").cast("int") - 1).alias("quantity"),
                 unit.alias("unit_price"),
                 (share * F.lit(100)).cast("decimal(9,4)").alias("discount_percent"),
-                (unit * (one - share)).cast(MONEY).alias("total_amount"),
+                (unit * (one - share) * sign).cast(MONEY).alias("total_amount"),
                 payment.otherwise("Debit Card").alias("payment_method"),
                 channel.otherwise("Mobile App").alias("channel"),
                 _text("l_suppkey").alias("store_id"),
