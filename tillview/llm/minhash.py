@@ -28,7 +28,7 @@ PER_LONG = 64 // BITS
 RANGE_ROWS = 4096
 MOST_RANGES = 1 << 16
 #: Ids a range is drawn from, about.
-SAMPLE_PER_RANGE = 20
+SAMPLE_PER_RANGE = 8
 
 
 def _let(value: Column, body) -> Column:
@@ -110,8 +110,10 @@ def _ranges(docs: DataFrame) -> tuple[list[int], int | None]:
     ranges = min(MOST_RANGES, max(1, rows // RANGE_ROWS))
     every = max(1, rows // (ranges * SAMPLE_PER_RANGE))
     drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).where("doc_id is not null")
-    found = sorted(drawn.groupBy("doc_id").count().collect()) if ranges > 1 else []
-    ids, weight = np.array([f[0] for f in found], np.int64), np.cumsum([f[1] for f in found])
+    if ranges == 1:
+        return [-(1 << 63)], None if missing else least
+    found = drawn.groupBy("doc_id").count().toArrow().sort_by("doc_id")
+    ids, weight = found["doc_id"].to_numpy(), np.cumsum(found["count"].to_numpy())
     cuts = np.searchsorted(weight, np.arange(1, ranges) * weight[-1] / ranges) if len(ids) else []
     starts = sorted({int(ids[c]) for c in cuts} - {least})
     return [-(1 << 63), *starts], None if missing else least
