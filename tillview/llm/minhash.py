@@ -26,9 +26,9 @@ PROBES = 12
 PER_LONG = 64 // BITS
 #: Rows of consecutive ids that are worked on together, about, and sets of them at most.
 RANGE_ROWS = 4096
-MOST_RANGES = 1 << 16
+MOST_RANGES = 1 << 15
 #: Ids a range is drawn from, about.
-SAMPLE_PER_RANGE = 8
+SAMPLE_PER_RANGE = 32
 
 
 def _let(value: Column, body) -> Column:
