@@ -34,7 +34,7 @@ TRAIN_ROWS = 4000
 CALIBRATION_PART = 5
 EPOCHS = 12
 REJECT_SHARE = 0.001
-REJECT_BELOW = 0.5
+REJECT_BELOW = 0.4
 UNKNOWN = "und"
 
 
