@@ -7,8 +7,8 @@ consecutive keys. A point goes to its block on every curve, a query to its block
 both neighbours; each block ranks its queries against its points by exact cosine in
 double precision, and the lists of all blocks are merged.
 
-Projections and cuts come from a sample of at most ``SAMPLE`` points, and every point
-is indexed. The block size is measured, not set: for ``PROBES`` query points the exact
+Projections come from a sample of at most ``SAMPLE`` points and cuts from the keys of at
+most ``CUT_SAMPLE``; every point is indexed. The block size is measured, not set: for ``PROBES`` query points the exact
 neighbours are found by brute force and their distance in ranks is counted on every
 curve; blocks are as large as ``RECALL`` of the neighbours need. So recall holds at
 any size and for any data, and the work follows what the data need.
@@ -35,6 +35,8 @@ CURVES = 8
 AXES, AXIS_BITS = 8, 6
 HASH_BITS = 15
 SAMPLE = 20_000
+#: Points whose keys place the cuts, at most (about: chosen by hash).
+CUT_SAMPLE = 1 << 19
 PROBES = 192
 RECALL = 0.95
 #: Sampled points in a block, at least; this bounds the number of blocks.
@@ -189,6 +191,19 @@ def _reach(points: DataFrame, curves: Curves, ids: np.ndarray, probes: np.ndarra
     return np.min(span, axis=0)
 
 
+def _sampled_keys(points: DataFrame, total: int, curves: Curves) -> np.ndarray:
+    """Keys of at most about ``CUT_SAMPLE`` points, curve by curve."""
+
+    @arrow_udf("array<long>")
+    def keys_of(ids: pa.Array, vectors: pa.Array) -> pa.Array:
+        keys = curves.keys(_unit(_matrix(vectors)), ids.to_numpy()).T if len(ids) else np.zeros((0, len(curves.axes)))
+        return pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * len(curves.axes), pa.array(keys.ravel(), pa.int64()))
+
+    drawn = points if total <= CUT_SAMPLE else points.where(F.pmod(F.xxhash64(F.lit("cut"), F.col("rep")), F.lit(total)) < CUT_SAMPLE)
+    table = drawn.select(keys_of("rep", "embedding").alias("keys")).toArrow()
+    return table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, len(curves.axes)).T
+
+
 def nearest(vectors: DataFrame, asked: Column, k: int = 5, recall: float = RECALL, curves: int = CURVES) -> DataFrame:
     """For each row for which ``asked`` holds (over vec_id) its ``k`` nearest other rows:
     query_id, rank, vec_id, score. Runs jobs; the points are written to the shared folder."""
@@ -207,9 +222,10 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 5, recall: float = RECAL
     exact = _exact(points, ids[probes], taken[probes], k)
     reach = _reach(points, lines, ids[probes], taken[probes], exact) if exact else np.zeros(1)
     size = max(LEAST_BLOCK, int(np.quantile(reach, recall)))
-    lines.cut(lines.keys(taken, ids), max(1, min(total // size, len(ids) // SAMPLED_PER_BLOCK)))
+    keys = _sampled_keys(points, total, lines)
+    lines.cut(keys, max(1, min(total // size, keys.shape[1] // SAMPLED_PER_BLOCK)))
 
-    @arrow_udf("array<int>")  # it carries the projections and at most SAMPLE / SAMPLED_PER_BLOCK cuts a curve
+    @arrow_udf("array<int>")  # it carries the projections and at most CUT_SAMPLE / SAMPLED_PER_BLOCK cuts a curve
     def blocks(ids: pa.Array, vectors: pa.Array) -> pa.Array:
         keys = lines.keys(_unit(_matrix(vectors)), ids.to_numpy()) if len(ids) else np.zeros((len(lines.starts), 0))
         at = np.array([np.searchsorted(s, key, "right") for s, key in zip(lines.starts, keys, strict=True)]).T
