@@ -33,8 +33,8 @@ from tillview.llm.linear import Leader, gather, one_text, sample, unanimous
 from tillview.llm.spans import blocks, mix, runs, span_hashes
 
 DIM = 1 << 20
-#: Labelled rows of each class that the model is fitted on, at most (about: chosen by hash).
-TRAIN_ROWS = 5000
+#: Clean and toxic labelled rows that the model is fitted on, at most (about: chosen by hash).
+TRAIN_ROWS = (9000, 3000)
 #: A text is flagged if grade 1 or more has this chance.
 FLAG = 0.3
 EPOCHS = 8
@@ -124,19 +124,20 @@ def fit(vectors: list[np.ndarray], grade: np.ndarray, order: np.ndarray, epochs:
     return Severity(model.weights().astype(np.float32), theta)
 
 
-def fit_severity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Severity:
+def fit_severity(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = TRAIN_ROWS) -> Severity:
     """The model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1). Runs jobs.
 
-    About ``rows`` labelled rows of each class are used at most; they alone reach
-    the driver, each as a set of at most ``DIM`` slots.
+    About ``rows`` clean and toxic rows are used at most; they alone reach the
+    driver, each as a set of at most ``DIM`` slots.
     """
     known = unanimous(labels, "doc_id", "label")
-    chosen = sample(known.where("label = 0"), "doc_id", rows).union(sample(known.where("label = 1"), "doc_id", rows))
+    clean, toxic = (sample(known.where(F.col("label") == y), "doc_id", most) for y, most in enumerate(rows))
+    chosen = clean.union(toxic)
     known = one_text(docs.join(F.broadcast(chosen), "doc_id"))
     order = F.xxhash64("text", "doc_id").alias("place")
     table = known.select(_sets("text").alias("vector"), F.col("label").cast("int").alias("label"), order).toArrow()
-    vectors, toxic = [np.frombuffer(v.as_py(), np.uint32) for v in table["vector"]], table["label"].to_numpy()
-    return fit(vectors, grades(vectors, toxic), np.argsort(table["place"].to_numpy(), kind="stable"))
+    vectors, marks = [np.frombuffer(v.as_py(), np.uint32) for v in table["vector"]], table["label"].to_numpy()
+    return fit(vectors, grades(vectors, marks), np.argsort(table["place"].to_numpy(), kind="stable"))
 
 
 def score_severity(docs: DataFrame, model: Severity, text: str = "text") -> DataFrame:
