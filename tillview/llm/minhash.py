@@ -14,7 +14,6 @@ Equal texts have equal fingerprints; a text without words has all zeros.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,18 +104,16 @@ def likeness(a: Column, b: Column) -> Column:
 
 def _ranges(docs: DataFrame) -> tuple[list[int], int | None]:
     """Ids that begin the ranges, and the least id (None if an id is null). Runs two
-    jobs over the ids alone; an id drawn comes once, with its rows, however many."""
+    jobs over the ids alone; what reaches the driver is one row of at most ``MOST_RANGES`` ids."""
     rows, least, missing = docs.agg(F.count("*"), F.min("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
     ranges = min(MOST_RANGES, max(1, rows // RANGE_ROWS))
-    every = max(1, rows // (ranges * SAMPLE_PER_RANGE))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).where("doc_id is not null")
-    if ranges == 1:
-        return [-(1 << 63)], None if missing else least
-    found = drawn.groupBy("doc_id").count().toArrow().sort_by("doc_id")
-    ids, weight = found["doc_id"].to_numpy(), np.cumsum(found["count"].to_numpy())
-    cuts = np.searchsorted(weight, np.arange(1, ranges) * weight[-1] / ranges) if len(ids) else []
-    starts = sorted({int(ids[c]) for c in cuts} - {least})
-    return [-(1 << 63), *starts], None if missing else least
+    cuts = []
+    if ranges > 1:
+        every = max(1, rows // (ranges * SAMPLE_PER_RANGE))
+        drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+        shares = F.split(F.lit(",".join(str(k / ranges) for k in range(1, ranges))), ",").cast("array<double>")
+        cuts = drawn.agg(F.percentile_approx("doc_id", shares, F.lit(ranges * SAMPLE_PER_RANGE))).first()[0] or []
+    return [-(1 << 63), *sorted(set(cuts) - {least})], None if missing else least
 
 
 def with_next(docs: DataFrame, kept: list[str]) -> DataFrame:
