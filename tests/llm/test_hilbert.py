@@ -62,6 +62,16 @@ def test_copies_and_rows_that_take_no_part(spark):
     assert got[1000, 1][0] == 1001 and got[1050, 1][0] == 1000
 
 
+def test_slices_of_a_block_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(k, v) for k, v in enumerate(rng.standard_normal((1500, 8)).tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = found(hilbert.nearest(vectors, F.col("vec_id") % 10 == 0))
+    monkeypatch.setattr(hilbert, "SLICE", 100)
+    sliced = found(hilbert.nearest(vectors, F.col("vec_id") % 10 == 0))
+    assert {k: v[0] for k, v in sliced.items()} == {k: v[0] for k, v in whole.items()}
+
+
 def test_few_and_no_rows(spark):
     vectors = spark.createDataFrame([(0, [1.0, 0.0]), (50, [0.0, 2.0]), (7, [-1e200, 1e200])], "vec_id long, embedding array<double>")
     got = found(hilbert.nearest(vectors, F.col("vec_id") % 50 == 0))

@@ -5,7 +5,9 @@ its own shift; a point's place on the curve is its Hilbert key, with bits of a h
 below it so that points of one cell still spread. Each curve is cut into blocks of
 consecutive keys. A point goes to its block on every curve, a query to its block and
 both neighbours; each block ranks its queries against its points by exact cosine in
-double precision, and the lists of all blocks are merged.
+double precision, and the lists of all blocks are merged. A block of more than
+``SLICE`` points or queries is dealt as a grid of slices of both, so that what a task
+holds is bounded however large blocks have to be.
 
 Projections come from a sample of at most ``SAMPLE`` points and cuts from the keys of at
 most ``CUT_SAMPLE``; every point is indexed. The block size is measured, not set: for ``PROBES`` query points the exact
@@ -43,6 +45,8 @@ RECALL = 0.95
 SAMPLED_PER_BLOCK = 16
 #: Points in a block, at least.
 LEAST_BLOCK = 256
+#: Points, and queries, that one task ranks together, about; a larger block is a grid of such slices.
+SLICE = 1 << 14
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -232,9 +236,20 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 5, recall: float = RECAL
         return pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * len(lines.starts), pa.array(at.ravel(), pa.int32()))
 
     placed = points.select("rep", "embedding", "query", F.posexplode(blocks("rep", "embedding")).alias("curve", "block"))
-    role = lambda step, query: F.struct((F.col("block") + step).alias("block"), F.lit(query).alias("query"))
-    roles = F.when(F.col("query"), F.array(role(0, False), *(role(d, True) for d in (-1, 0, 1)))).otherwise(F.array(role(0, False)))
-    dealt = placed.select("rep", "embedding", "curve", F.explode(roles).alias("r")).select("rep", "embedding", "curve", "r.block", "r.query")
+    count = min(len(s) for s in lines.starts) + 1
+    asking_points = points.where("query").count()
+    slices, query_slices = 1 + total // (count * SLICE), 1 + 3 * asking_points // (count * SLICE)
+    own = lambda n: F.pmod(F.xxhash64(F.lit("slice"), "rep"), F.lit(n)).cast("int")
+
+    def cells(step: int, query: bool) -> Column:
+        """The slices of a block that a point, or a query, goes to: its own of one kind, all of the other."""
+        across = F.sequence(F.lit(0), F.lit((slices if query else query_slices) - 1))
+        mine = own(query_slices if query else slices)
+        pair = lambda k: (k, mine) if query else (mine, k)
+        return F.transform(across, lambda k: F.struct((F.col("block") + step).alias("block"), pair(k)[0].alias("slice"), pair(k)[1].alias("query_slice"), F.lit(query).alias("query")))
+
+    roles = F.when(F.col("query"), F.concat(cells(0, False), *(cells(d, True) for d in (-1, 0, 1)))).otherwise(cells(0, False))
+    dealt = placed.select("rep", "embedding", "curve", F.explode(roles).alias("r")).select("rep", "embedding", "curve", "r.*")
 
     def rank(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -245,7 +260,7 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 5, recall: float = RECAL
         kinds = (pa.int64(), pa.int64(), pa.float64())
         return pa.table([pa.array([f[c] for f in found], t) for c, t in enumerate(kinds)], ["query", "rep", "score"])
 
-    found = dealt.groupBy("curve", "block").applyInArrow(rank, out).groupBy("query", "rep").agg(F.max("score").alias("score"))
+    found = dealt.groupBy("curve", "block", "slice", "query_slice").applyInArrow(rank, out).groupBy("query", "rep").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     found = found.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1).drop("_n")
     shown = found.join(points.select("rep", "members"), "rep").select("query", "score", F.explode("members").alias("vec_id"))
