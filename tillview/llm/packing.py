@@ -56,7 +56,8 @@ class Ids:
 
     def _learn_letters(self, words: list[str]) -> list[str]:
         """Words of letters alone; returns those it could not tell apart."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        (found,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)  # without offsets
+        ids = np.array(found.ids, "<u4")
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(words):
             return words
