@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillview.llm import chat, hilbert, langid, minhash, packing, quality, simhash, toxicity, url_rules
+from tillview.llm import chat, hilbert, langid, merkle, minhash, packing, quality, simhash, toxicity, url_rules
 from tillview.llm.bpe import Coder
 from tillview.llm.linear import remainder
 from tillview.llm.shared import table, vocabulary
@@ -95,6 +95,10 @@ def op10_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 0)
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -108,10 +112,17 @@ REGISTRY = {
         op8_byte_bpe,
         op9_chat_format,
         op10_hilbert_ann,
+        op11_merkle_manifest,
     )
 }
 
 _FITS = "(host = '{0}' OR ends_with(host, '.{0}')) AND starts_with(path, '{1}')"
+#: A field as a Merkle leaf has it.
+_FIELD = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+#: The unsigned CRC-32 of a number's decimal digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten([[ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST({0} AS VARCHAR), '')])),
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
 
 ORACLE = {
     "op3_url_filter": f"""
@@ -151,4 +162,48 @@ SELECT conv_id,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '!' ELSE '+' || lang END AS run,
+         {_FIELD.format("doc_id")} || {_FIELD.format("source")} || {_FIELD.format("lang")} AS head,
+         {_FIELD.format("n_chars")} AS counted, {_FIELD.format("(n_chars + 1)")} AS changed, {_FIELD.format("text")} AS tail,
+         {_CRC32.format("doc_id")} % 7 = 0 AS tampered
+  FROM documents
+), leaves AS (
+  SELECT doc_id, run, sha256(head || counted || tail) AS leaf,
+         sha256(head || CASE WHEN tampered THEN changed ELSE counted END || tail) AS given,
+         row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, sha256(head || counted || tail)) - 1 AS pos
+  FROM fields
+), tree AS (
+  SELECT run, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY run) AS n FROM leaves
+  UNION ALL
+  SELECT run, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY run, level, pos // 2
+), upper AS (
+  SELECT run, 0 AS level, row_number() OVER (ORDER BY run) - 1 AS pos, digest, count(*) OVER () AS n FROM tree WHERE n = 1
+  UNION ALL
+  SELECT '', level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM upper WHERE n > 1 GROUP BY level, pos // 2
+), met AS (
+  SELECT l.run, l.pos AS leaf_pos, t.level, t.pos, coalesce(s.digest, '') AS sibling
+  FROM leaves l JOIN tree t ON t.run = l.run AND t.pos = l.pos >> t.level AND t.n > 1
+  LEFT JOIN tree s ON s.run = t.run AND s.level = t.level AND s.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT l.run, l.pos, 1000 + t.level, t.pos, coalesce(s.digest, '')
+  FROM leaves l JOIN upper r ON r.run = l.run AND r.level = 0
+  JOIN upper t ON t.pos = r.pos >> t.level AND t.n > 1
+  LEFT JOIN upper s ON s.level = t.level AND s.pos = xor(t.pos, 1)
+), paths AS (
+  SELECT run, leaf_pos, string_agg(sibling, '' ORDER BY level) AS siblings,
+         list(CASE WHEN pos % 2 = 1 THEN '<' ELSE '>' END || sibling ORDER BY level) AS steps
+  FROM met GROUP BY run, leaf_pos
+), proved AS (
+  SELECT l.doc_id, l.leaf, b.digest AS subroot, (SELECT digest FROM upper WHERE n = 1) AS root,
+         sha256(coalesce(p.siblings, '')) AS proof_sha256,
+         list_reduce(list_prepend(l.given, coalesce(p.steps, [])), lambda own, step:
+           sha256(CASE WHEN step[1] = '<' THEN step[2:] || own ELSE own || step[2:] END)) AS folded_root
+  FROM leaves l JOIN tree b ON b.run = l.run AND b.n = 1
+  LEFT JOIN paths p ON p.run = l.run AND p.leaf_pos = l.pos
+)
+SELECT *, folded_root = root AS verified FROM proved""",
 }
