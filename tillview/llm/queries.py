@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillview.llm import chat, hilbert, langid, merkle, minhash, packing, quality, simhash, toxicity, url_rules
+from tillview.llm import chat, hilbert, langid, merkle, minhash, packing, quality, simhash, token_files, toxicity, url_rules
 from tillview.llm.bpe import Coder
 from tillview.llm.linear import remainder
 from tillview.llm.shared import table, vocabulary
@@ -99,6 +99,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 0)
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.through_files(table(spark, sf_dir, "documents"), vocabulary(CHAT_VOCABULARY))
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -113,6 +117,7 @@ REGISTRY = {
         op9_chat_format,
         op10_hilbert_ann,
         op11_merkle_manifest,
+        op12_token_files,
     )
 }
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillview.sources.staging import stage
 
-__all__ = ["batches", "stage", "table", "vocabulary"]
+__all__ = ["batches", "once", "stage", "table", "vocabulary"]
 
 
 #: Rows of a batch that Python works on; the usual 10,000 are a lot of memory where rows are texts.
@@ -31,3 +33,11 @@ def vocabulary(name: str) -> bytes:
     import public_tokenizers
 
     return Path(public_tokenizers.path(name)).read_bytes()
+
+
+def once(box: dict[str, Any], make: Callable[[bytes], Any]) -> Any:
+    """What ``make`` gives for ``box["content"]``, made by the first task of a Python worker and
+    kept for its later ones: a worker has one copy of the broadcast dictionary ``box``."""
+    if "made" not in box:
+        box["made"] = make(box["content"])
+    return box["made"]
