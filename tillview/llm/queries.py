@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillview.llm import chat, hilbert, langid, merkle, minhash, packing, quality, simhash, token_files, toxicity, url_rules
+from tillview.llm import chat, hilbert, langid, merkle, minhash, packing, phrases, quality, simhash, token_files, toxicity, url_rules
 from tillview.llm.bpe import Coder
 from tillview.llm.linear import remainder
 from tillview.llm.shared import table, vocabulary
@@ -103,6 +103,11 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.through_files(table(spark, sf_dir, "documents"), vocabulary(CHAT_VOCABULARY))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return phrases.collocations(docs, F.pmod(F.xxhash64("doc_id"), F.lit(phrases.ONE_IN)) == 0)
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -118,6 +123,7 @@ REGISTRY = {
         op10_hilbert_ann,
         op11_merkle_manifest,
         op12_token_files,
+        op13_collocations,
     )
 }
 
@@ -211,4 +217,34 @@ WITH RECURSIVE fields AS (
   LEFT JOIN paths p ON p.run = l.run AND p.leaf_pos = l.pos
 )
 SELECT *, folded_root = root AS verified FROM proved""",
+    "op13_collocations": f"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{url_rules.UPPER}', '{url_rules.LOWER}') AS text FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM docs
+), runs AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, size, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+  FROM runs, (VALUES (1), (2), (3)) s(size) WHERE len(w) >= size
+), f AS (
+  SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 10
+), totals AS (
+  SELECT lang, count(*) AS n FROM grams WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1
+), cuts AS (
+  SELECT c.*, k, x.n AS l, y.n AS r, CAST(1000000::HUGEINT * a * a // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+  FROM candidates c JOIN (VALUES (1), (2)) v(k) ON k < c.size
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+), scored AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM candidates c WHERE c.lang = s.lang AND c.size = 3 AND s.size = 2 AND 100 * c.a >= 50 * s.a
+      AND s.phrase IN (c.w[1] || ' ' || c.w[2], c.w[2] || ' ' || c.w[3]))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, t.n, score
+FROM kept JOIN totals t USING (lang) QUALIFY rank <= 2000""",
 }
