@@ -16,10 +16,11 @@ from tillview.plans.medallion import (
     train_models,
     write_feature_catalog,
 )
+from tillview.sources.commits import TableFolder, VersionMissing
 from tillview.sources.csv import REJECTED, rejected_rows, scan_csv, scan_csv_inferred
 from tillview.sources.schemas import SOURCES
 from tillview.sources.staging import stage, staging_root
-from tillview.sources.tables import TableMissing, TableStore, layer_summary
+from tillview.sources.tables import NotOurTable, TableMissing, TableStore, layer_summary
 
 LOADED = datetime(2024, 7, 1, 2, 3, 4)
 AS_OF = date(2024, 6, 30)
@@ -94,11 +95,84 @@ def test_partitioned_write(spark, tmp_path):
     df = spark.range(1000).select("id", (F.col("id") % 4).cast("int").alias("m"))
     back = store.write(df, "x_gold", partition_by="m")
     assert back.count() == 1000
-    folder = tmp_path / "lake" / "gold" / "x_gold"
+    (folder,) = (tmp_path / "lake" / "gold" / "x_gold").glob("data-*")
     assert sorted(p.name for p in folder.iterdir() if p.is_dir()) == [f"m={i}" for i in range(4)]
     assert all(len(list(p.glob("*.parquet"))) == 1 for p in folder.glob("m=*"))
 
 
+def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake"))
+    store.write(spark.range(100), "x_gold")
+    broken = store.read("x_gold").repartition(4).select(F.when(F.col("id") == 77, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        store.write(broken, "x_gold")
+    assert store.read("x_gold").count() == 100
+    assert store.folder("x_gold").numbers() == [1]
+    # what the failed write left goes when it is old enough
+    folder = tmp_path / "lake" / "gold" / "x_gold"
+    left = [p.name for p in folder.glob("data-*") if p.name != store.folder("x_gold").version().folder]
+    assert store.folder("x_gold").sweep(2) == []
+    assert sorted(store.folder("x_gold").sweep(2, orphan_hours=-1)) == sorted(left)
+    assert store.read("x_gold").count() == 100 and len(list(folder.glob("data-*"))) == 1
+
+
+def test_versions_are_pinned_and_swept(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake"), keep=2)
+    first = store.write(spark.range(1), "x_gold")
+    second = store.write(store.read("x_gold").union(spark.range(9)), "x_gold")  # from itself
+    assert (first.count(), second.count()) == (1, 10)
+    store.write(second.withColumn("extra", F.lit("e")), "x_gold")
+    assert store.folder("x_gold").numbers() == [2, 3]
+    assert second.count() == 10 and store.read("x_gold", version=2).columns == ["id"]
+    assert store.read("x_gold").columns == ["id", "extra"]
+    with pytest.raises(VersionMissing):
+        store.read("x_gold", version=1)
+    assert len(list((tmp_path / "lake" / "gold" / "x_gold").glob("data-*"))) == 2
+
+
+def test_two_writers_take_two_numbers(spark, tmp_path):
+    """The second finds the number taken after it has looked."""
+    path = str(tmp_path / "x")
+    one, other = TableFolder(spark, path), TableFolder(spark, path)
+    schema = spark.range(1).schema
+    one.commit("data-a", schema)
+    other.numbers = lambda: []
+    assert other.commit("data-b", schema).number == 2
+    del other.numbers
+    assert [other.version(n).folder for n in other.numbers()] == ["data-a", "data-b"]
+    assert not [p for p in (tmp_path / "x" / "_commits").iterdir() if not p.name.strip(".").startswith("0")]
+
+
+def test_empty_tables_and_plain_folders_are_read(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake"))
+    none = spark.range(3).withColumn("m", F.lit(1)).limit(0)
+    assert store.write(none, "none_gold", partition_by="m").columns == ["id", "m"]
+    assert store.read("none_gold").count() == 0
+    spark.range(4).write.parquet(store.path("plain_gold"))
+    assert store.read("plain_gold").count() == 4
+
+
+def test_the_catalog_follows_the_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake"), database="follow_test")
+    columns = lambda: [(c.name, c.dataType) for c in spark.catalog.listColumns("follow_test.a_gold")]
+    store.write(spark.range(3).select(F.col("id").alias("a")), "a_gold")
+    assert columns() == [("a", "bigint")]
+    store.write(spark.range(3).select(F.col("id").cast("int").alias("a"), F.lit("x").alias("b")), "a_gold")
+    assert columns() == [("a", "int"), ("b", "string")]
+    assert store.read("a_gold", prefer="catalog").columns == ["a", "b"]
+    for months in (1, 3):
+        store.write(spark.range(6).select("id", (F.col("id") % months).cast("int").alias("m")), "a_gold", partition_by="m")
+        found = store.read("a_gold", prefer="catalog")
+        assert found.count() == 6 and found.select("m").distinct().count() == months
+    store.write(spark.range(2), "a_gold")
+    assert columns() == [("id", "bigint")] and store.read("a_gold", prefer="catalog").count() == 2
+    spark.range(9).write.saveAsTable("follow_test.mine_gold")
+    with pytest.raises(NotOurTable):
+        store.write(spark.range(2), "mine_gold")
+    assert spark.table("follow_test.mine_gold").count() == 9
+    spark.sql("DROP DATABASE follow_test CASCADE")
+
+
 def test_registration_and_summary(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake"), database="shop_test")
     store.write(spark.range(7).withColumn("m", F.lit(1)), "a_gold", LOADED, partition_by=["m"])

@@ -1,8 +1,9 @@
 """Layered tables: one writer, one reader, one summary.
 
 A layer is a folder under the store's root; a table is a folder under its
-layer. Tables can also be registered in the catalog when the store has a
-database.
+layer, and every write is a new version in it (``commits.py``). Tables can also
+be registered in the catalog when the store has a database; the entry follows
+the last version's schema, place and partitions.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from tillview.sources.commits import TableFolder, Version
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -23,12 +27,18 @@ class TableMissing(RuntimeError):
     """Neither the table's folder nor a catalog entry could be read."""
 
 
+class NotOurTable(RuntimeError):
+    """The catalog has a view or a table of another kind under the name."""
+
+
 @dataclass(frozen=True)
 class TableStore:
     spark: SparkSession
     root: str
     format: str = "parquet"
     database: str | None = None
+    #: Versions of a table that are kept, the last included.
+    keep: int = 2
 
     def path(self, name: str) -> str:
         """``x_silver``, ``db.x_silver`` and ``catalog.db.x_silver`` are one table."""
@@ -40,6 +50,12 @@ class TableStore:
         short = name.split(".")[-1]
         return f"{self.database}.{short}" if self.database else short
 
+    def folder(self, name: str) -> TableFolder:
+        return TableFolder(self.spark, self.path(name))
+
+    def _data_path(self, name: str, version: Version) -> str:
+        return f"{self.path(name)}/{version.folder}"
+
     # -- write ------------------------------------------------------------
     def write(
         self,
@@ -48,13 +64,16 @@ class TableStore:
         load_ts: datetime | None = None,
         partition_by: str | Sequence[str] | None = None,
     ) -> DataFrame:
-        """Replace the table and return it as read back from storage.
-
-        Silver and gold tables get a ``<layer>_load_timestamp``. A partitioned
-        write is rebalanced by its partition columns first: adaptive execution
-        then merges the small pieces and splits the large ones, so one month
-        that holds a third of the rows is written by many tasks and a small
-        month by one, without a file per task and month.
+        """Replace the table, all at once, and return its new version as read back
+        from storage. ``df`` may read the table itself.
+
+        Until the write is done readers get the version before; if it fails
+        they keep it. The last ``keep`` versions stay readable. Silver and gold
+        tables get a ``<layer>_load_timestamp``. A partitioned write is
+        rebalanced by its partition columns first: adaptive execution then
+        merges the small pieces and splits the large ones, so one month that
+        holds a third of the rows is written by many tasks and a small month by
+        one, without a file per task and month.
         """
         layer = self.path(name).split("/")[-2]
         if load_ts is not None and layer in ("silver", "gold"):
@@ -62,10 +81,16 @@ class TableStore:
         keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
         if keys:
             df = df.hint("rebalance", *keys)
-        df.write.format(self.format).mode("overwrite").partitionBy(*keys).save(self.path(name))
+        folder = self.folder(name)
+        data = folder.new_folder()
+        df.write.format(self.format).partitionBy(*keys).save(f"{self.path(name)}/{data}")
+        # as it is read: every column nullable, those of partitions last
+        fields = [*(f for f in df.schema if f.name not in keys), *(df.schema[k] for k in keys)]
+        version = folder.commit(data, StructType([StructField(f.name, f.dataType) for f in fields]), keys)
         if self.database:
             self.register(name)
-        return self.read(name)
+        folder.sweep(self.keep)
+        return self._of_version(name, version)
 
     def write_managed(self, df: DataFrame, name: str) -> DataFrame:
         """A table whose files the catalog owns."""
@@ -74,27 +99,45 @@ class TableStore:
         return self.spark.table(full)
 
     def register(self, name: str) -> None:
-        """Point a catalog entry at the table's folder (kept if it exists)."""
-        catalog = self.spark.catalog
+        """Make the catalog entry show the table's last version.
+
+        An entry of the same schema only gets its new place; where columns, their
+        types or the partitioning differ, or partitions are to be found anew, the
+        entry (not the data) is dropped and made again. Views and managed tables of
+        that name are left alone and raise ``NotOurTable``."""
+        catalog, full, version = self.spark.catalog, self.qualified(name), self.folder(name).version()
+        if version is None:
+            raise TableMissing(f"{name}: {self.path(name)} has no version")
         if self.database and not catalog.databaseExists(self.database):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
-        full = self.qualified(name)
+        place = self._data_path(name, version)
         if catalog.tableExists(full):
-            catalog.refreshTable(full)
-            return
-        catalog.createTable(full, path=self.path(name), source=self.format)
-        if catalog.getTable(full).tableType != "VIEW" and self._is_partitioned(full):
+            kind = catalog.getTable(full).tableType
+            if kind != "EXTERNAL":
+                raise NotOurTable(f"{full} is a {kind} table")
+            entry = [(c.name, c.dataType, c.isPartition) for c in catalog.listColumns(full)]
+            committed = [(f.name, f.dataType.simpleString(), f.name in version.partition_by) for f in version.struct]
+            if entry == committed and not version.partition_by:
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{place}'")
+                catalog.refreshTable(full)
+                return
+            self.spark.sql(f"DROP TABLE {full}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in version.struct)
+        by = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in version.partition_by)})" if version.partition_by else ""
+        self.spark.sql(f"CREATE TABLE {full} ({columns}) USING {self.format}{by} LOCATION '{place}'")
+        if version.partition_by:
             catalog.recoverPartitions(full)
 
-    def _is_partitioned(self, full: str) -> bool:
-        return any(c.isPartition for c in self.spark.catalog.listColumns(full))
-
     # -- read -------------------------------------------------------------
-    def read(self, name: str, prefer: str = "path", optional: bool = False) -> DataFrame | None:
+    def read(self, name: str, prefer: str = "path", optional: bool = False, version: int | None = None) -> DataFrame | None:
         """The table from its folder, else from the catalog (or the reverse).
 
-        Resolving the schema is the validation; no rows are read. With
-        ``optional`` a missing table is None instead of an error."""
+        From the folder it is the last version, or the one of that number, and
+        stays that version whatever is written later. Resolving the schema is the
+        validation; no rows are read. With ``optional`` a missing table is None
+        instead of an error."""
+        if version is not None:
+            return self._of_version(name, self.folder(name).version(version))
         if prefer not in ("path", "catalog"):
             raise ValueError("prefer must be 'path' or 'catalog'")
         attempts = [self._from_path, self._from_catalog]
@@ -111,7 +154,14 @@ class TableStore:
         raise TableMissing(f"{name}: {self.path(name)} and the catalog failed with {reasons}")
 
     def _from_path(self, name: str) -> DataFrame:
-        return self.spark.read.format(self.format).load(self.path(name))
+        """The last version; a folder without versions is read as plain files."""
+        version = self.folder(name).version()
+        if version is None:
+            return self.spark.read.format(self.format).load(self.path(name))
+        return self._of_version(name, version)
+
+    def _of_version(self, name: str, version: Version) -> DataFrame:
+        return self.spark.read.format(self.format).schema(version.struct).load(self._data_path(name, version))
 
     def _from_catalog(self, name: str) -> DataFrame:
         return self.spark.table(self.qualified(name))
