@@ -1,11 +1,12 @@
 """Operators on inline rows: edges the generated tables do not reach."""
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from tillview.operators import conform, customer_view, features, lifetime, rfm, sales, segments
+from tillview.operators import conform, customer_view, features, lifetime, ranks, rfm, sales, segments
 from tillview.operators.dedup import dedup_latest, latest_value_per_key
 from tillview.operators.enrich import hot_keys, left_join_salted
 from tillview.operators.profile import customer_profile
@@ -322,15 +323,31 @@ def test_segment_profile_joins_what_is_missing(spark):
     assert got == [(1, 1, 9.0, 9.0, 9.0), (0, 2, 1.5, 2.0, 4.0)]
 
 
-def test_ranks_are_exact_for_any_number_of_rows(spark):
-    """More distinct values than any sketch setting would hold, with repeats and NULLs."""
+@pytest.mark.parametrize("few", [1_000_000, 300])
+def test_ranks_are_exact_for_any_number_of_rows(spark, monkeypatch, few):
+    """Read off at once, and through sketches: distinct values, repeats, NULLs, one value in most rows."""
+    monkeypatch.setattr(ranks, "FEW_ROWS", few)
     n = 250_000
-    df = spark.range(n).selectExpr("cast(id * 7919 % 250000 as int) as a", "cast(id % 10 as decimal(18,4)) as b", "if(id % 2 = 0, cast(id as bigint), null) as c", "cast(null as int) as d")
-    got = one(values_at(df, ["a", "b", "c", "d"], [share_rank("0.2"), share_rank("0.600001"), lambda rows: rows]))
-    assert got["a"] == [49_999, 150_000, n - 1]
-    assert [int(x) for x in got["b"]] == [1, 6, 9]
-    assert got["c"] == [2 * 24_999, 2 * 75_000, n - 2]
-    assert got["d"] in ([], None)
+    df = spark.range(n).repartition(90).selectExpr("cast(id * 7919 % 250000 as int) as a", "cast(id % 10 as decimal(18,4)) as b", "if(id % 2 = 0, cast(id as bigint), null) as c", "cast(null as int) as d", "if(id < 1000, cast(id as int), 5) as e")
+    got = one(values_at(df, ["a", "b", "c", "d", "e"], [share_rank("0.2"), share_rank("0.600001"), lambda rows: rows, lambda rows: F.lit(4)]))
+    assert got["a"] == [49_999, 150_000, n - 1, 3]
+    assert [int(x) for x in got["b"]] == [1, 6, 9, 0]
+    assert got["c"] == [2 * 24_999, 2 * 75_000, n - 2, 6]
+    assert got["d"] == []
+    assert got["e"] == [5, 5, 999, 3]
+
+
+@pytest.mark.parametrize(("n", "margin"), [(0, 0.02), (150, 0.02), (40, -0.2)])
+def test_ranks_by_poor_sketches(spark, monkeypatch, n, margin):
+    """Enclosing values that miss the rank only cost more passes."""
+    monkeypatch.setattr(ranks, "FEW_ROWS", 10)
+    monkeypatch.setattr(ranks, "MARGIN", margin)
+    draw = random.Random(n)
+    values = [draw.choice([None, draw.randint(-3, 3), draw.randint(-(10**9), 10**9)]) for _ in range(n)]
+    places = [1, n // 2, n, 0]
+    got = one(values_at(spark.createDataFrame([(v,) for v in values], "v long"), ["v"], [lambda _, p=p: F.lit(p) for p in places])).v
+    known = sorted(v for v in values if v is not None)
+    assert got == [known[p - 1] for p in places if 1 <= p <= len(known)]
 
 
 def test_hot_keys_of_many_partitions(spark):
