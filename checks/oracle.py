@@ -32,7 +32,8 @@ def statement(select: str) -> str:
             needed.add(name)
             todo += _uses(VIEWS[name])
     parts = [f"{name} AS ({VIEWS[name]})" for name in VIEWS if name in needed]
-    return (f"WITH {', '.join(parts)} " if parts else "") + select
+    recursive = "RECURSIVE " if any(name in _uses(VIEWS[name]) for name in needed) else ""
+    return (f"WITH {recursive}{', '.join(parts)} " if parts else "") + select
 
 
 def tidy(column: str) -> str:
@@ -550,6 +551,26 @@ VIEWS["v_category_series"] = (
     "SELECT product_category AS series_id, date, category_revenue AS y FROM v_by_category"
 )
 forecast_views("cat", "v_category_series")
+VIEWS["v_smooth_series"] = """
+SELECT series_id, max(date) AS last, count(*) AS n, list(y ORDER BY t) AS y FROM v_cat_history GROUP BY series_id"""
+VIEWS["v_smooth"] = """
+SELECT series_id, alpha, beta, gamma, 7 AS day, list_sum(y[1:7]) / 7 AS level,
+  (list_sum(y[8:14]) / 7 - list_sum(y[1:7]) / 7) / 7 AS trend,
+  [v - list_sum(y[1:7]) / 7 FOR v IN y[1:7]] AS season, 0.0::DOUBLE AS squares
+FROM v_smooth_series, (VALUES (0.05::DOUBLE), (0.2), (0.5)) a(alpha), (VALUES (0.0::DOUBLE), (0.02)) b(beta),
+  (VALUES (0.05::DOUBLE), (0.2)) g(gamma)
+UNION ALL
+SELECT series_id, alpha, beta, gamma, day + 1, level + trend + alpha * e, trend + beta * e,
+  [CASE WHEN i = day % 7 THEN season[i + 1] + gamma * e ELSE season[i + 1] END FOR i IN range(7)], squares + e * e
+FROM (SELECT s.*, r.y[s.day + 1] - (s.level + s.trend + s.season[s.day % 7 + 1]) AS e
+  FROM v_smooth s JOIN v_smooth_series r ON s.series_id = r.series_id WHERE s.day < r.n)"""
+VIEWS["v_smooth_best"] = """
+SELECT s.*, r.last FROM v_smooth s JOIN v_smooth_series r ON s.series_id = r.series_id AND s.day = r.n
+QUALIFY row_number() OVER (PARTITION BY s.series_id ORDER BY squares, alpha, beta, gamma) = 1"""
+VIEWS["v_smooth_ahead"] = """
+SELECT series_id, (last + h::INTEGER)::DATE AS date, level + h * trend + season[(day + h - 1) % 7 + 1] AS y,
+  1.96 * sqrt(squares / (day - 7) * (1 + coalesce(list_sum([(alpha + beta * j + CASE WHEN j % 7 = 0 THEN gamma ELSE 0 END) ** 2 FOR j IN range(1, h)]), 0))) AS margin
+FROM v_smooth_best, (SELECT unnest(generate_series(1, 30)) AS h)"""
 VIEWS["v_past_series"] = """
 SELECT s.* FROM v_series s JOIN v_all_span p ON s.series_id = p.series_id WHERE s.date <= p.last - 30"""
 forecast_views("past", "v_past_series")
@@ -596,6 +617,12 @@ SELECTS = {
         {mean('revenue')} AS avg_transaction_value, count(DISTINCT customer_id) AS unique_customers FROM v_lines""",
     "partitioned_write": """SELECT transaction_year, transaction_month, count(*) AS records,
         sum(revenue)::DOUBLE AS revenue FROM v_lines GROUP BY 1, 2""",
+    "overwrite_replace": """SELECT 2 AS version, product_category, count(*) AS records, sum(2 * revenue)::DOUBLE AS revenue
+        FROM v_lines WHERE revenue > 50 GROUP BY 2
+        UNION ALL SELECT 3, product_category, count(*), sum(4 * revenue)::DOUBLE
+        FROM v_lines WHERE revenue > 50 AND product_category IS NOT NULL GROUP BY 2""",
+    "catalog_schema": """SELECT transaction_year, count(*) AS records, sum(revenue)::DOUBLE AS amount,
+        'transaction_month int, amount decimal(18,4), transaction_year int partition' AS columns FROM v_lines GROUP BY 1""",
     "layer_summary": " UNION ALL ".join(
         f"SELECT '{name}_silver' AS table_name, count(*) AS records, {width} AS columns FROM {view}"
         for name, view, width in (
@@ -699,6 +726,11 @@ SELECTS = {
     "forecast_metrics": f"SELECT series_id, {ERRORS} FROM v_all_fitted GROUP BY 1",
     "forecast_holdout": f"SELECT series_id, {ERRORS} FROM v_held_out GROUP BY 1",
     "forecast_by_category": "SELECT * FROM v_cat_forecast",
+    "forecast_seasonal_by_category": """SELECT series_id, count(*) AS days, 30 AS future_days, true AS optimal
+        FROM v_cat_history GROUP BY 1""",
+    "forecast_smoothing": """SELECT series_id, date AS forecast_date, round(y, 4) AS predicted_revenue,
+        round(y - margin, 4) AS lower_bound, round(y + margin, 4) AS upper_bound,
+        'exponential_smoothing' AS model_type, true AS is_future FROM v_smooth_ahead""",
     "churn_training_set": """SELECT customer_id, days_since_last_purchase, total_transactions, total_revenue,
         avg_transaction_value, transactions_last_30d, transactions_last_60d, transactions_last_90d, revenue_last_30d,
         distinct_categories_purchased, return_count, return_rate, current_loyalty_points, loyalty_tier_numeric,
@@ -811,6 +843,11 @@ SELECT 'linear' AS model, 'auc_roc' AS metric, round((sum(place) FILTER (WHERE l
     - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
     / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)), 9) AS value
   FROM (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM v_linear)
+UNION ALL SELECT 'linear', 'auc_pr', round(sum(pos * (above + below) / 2) / sum(pos), 9) FROM (
+  SELECT pos, hits / seen AS above, CASE WHEN seen > pos + neg THEN (hits - pos) / (seen - pos - neg) ELSE hits / seen END AS below
+  FROM (SELECT pos, neg, sum(pos) OVER w AS hits, sum(pos + neg) OVER w AS seen FROM (
+    SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM v_linear GROUP BY score)
+    WINDOW w AS (ORDER BY score DESC)))
 UNION ALL SELECT 'linear', 'accuracy', round(avg((label = prediction)::INTEGER), 9) FROM v_linear
 UNION ALL SELECT 'linear', 'f1', round(sum(share * 2 * hits / (actual + guessed)), 9) FROM (
   SELECT label, count(*) / (SELECT count(*) FROM v_linear)::DOUBLE AS share, count(*) AS actual,

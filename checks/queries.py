@@ -7,6 +7,7 @@ after always runs in the query itself.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -26,7 +27,9 @@ from tillview.operators import (
     quality,
     rfm,
     sales,
+    seasonal,
     segments,
+    smoothing,
 )
 from tillview.operators.dedup import dedup_latest, latest_value_per_key
 from tillview.operators.profile import customer_profile, renamed
@@ -254,6 +257,36 @@ def partitioned_write(spark, folder):
     )
 
 
+@query
+def overwrite_replace(spark, folder):
+    """A table rewritten from itself twice: its last version beside the one before."""
+    store = TableStore(spark, staging_path(spark, "replaced"))
+    now = store.write(lines(spark, folder).select("product_category", "revenue"), "lines_silver")
+    for kept in ("revenue > 50", "product_category is not null"):
+        now = store.write(now.filter(kept).withColumn("revenue", (F.col("revenue") * 2).cast("decimal(18,4)")), "lines_silver")
+    versions = [store.read("lines_silver", version=n).withColumn("version", F.lit(n)) for n in (2, 3)]
+    return (
+        versions[0]
+        .unionByName(versions[1])
+        .groupBy("version", "product_category")
+        .agg(F.count("*").alias("records"), F.sum("revenue").alias("revenue"))
+    )
+
+
+@query
+def catalog_schema(spark, folder):
+    """A catalog table through a changed schema and new partitions: its columns in the
+    catalog, and its rows by partition as the catalog finds them."""
+    store = TableStore(spark, staging_path(spark, "registered"), database=f"tillview_{uuid.uuid4().hex[:12]}")
+    sold = lines(spark, folder).select("transaction_year", "transaction_month", F.col("revenue").cast("double").alias("amount"))
+    store.write(sold.filter("transaction_year < 1995").drop("transaction_month"), "sold_silver", partition_by="transaction_year")
+    store.write(sold.withColumn("amount", F.col("amount").cast("decimal(18,4)")), "sold_silver", partition_by="transaction_year")
+    columns = [f"{c.name} {c.dataType}{' partition' if c.isPartition else ''}" for c in spark.catalog.listColumns(store.qualified("sold_silver"))]
+    found = store.read("sold_silver", prefer="catalog")
+    rows = found.groupBy("transaction_year").agg(F.count("*").alias("records"), F.sum("amount").alias("amount"))
+    return rows.withColumn("columns", F.lit(", ".join(columns)))
+
+
 @query
 def layer_summary(spark, folder):
     names = ["customers", "products", "transactions", "crm_interactions"]
@@ -619,6 +652,31 @@ def forecast_seasonal_days(spark, folder):
     )
 
 
+def _category_series(spark, folder) -> DataFrame:
+    daily = sales.sales_by_category(lines(spark, folder))
+    return forecast.revenue_series(daily, "product_category", "category_revenue")
+
+
+@query
+def forecast_seasonal_by_category(spark, folder):
+    """The seasonal model of every category at once: its days, and whether the coefficients are
+    where the loss is least (its slope is 0 along every column)."""
+    rows = stage(seasonal.design(_category_series(spark, folder)), "design")
+    best = seasonal.optimality(rows, stage(seasonal.fit_seasonal(rows), "fitted"))
+    future = rows.groupBy("series_id").agg(F.count_if("is_future").alias("future_days"))
+    return best.join(future, "series_id").select("series_id", "days", "future_days", (F.col("gap") < 1e-8).alias("optimal"))
+
+
+@query
+def forecast_seasonal_many(spark, folder):
+    return seasonal.forecast_seasonal_many(_category_series(spark, folder))
+
+
+@query
+def forecast_smoothing(spark, folder):
+    return rounded(smoothing.forecast_smoothing(_category_series(spark, folder)), 4, *NUMBERS)
+
+
 @query
 def forecast_next_days_seasonal(spark, folder):
     near = forecast.next_days(forecast.forecast_seasonal(_series(spark, folder))[0])
@@ -754,8 +812,8 @@ def _linear_churn(spark, folder) -> DataFrame:
 
 @query
 def linear_metrics(spark, folder):
-    """The metrics of a fixed score, but for the area under PR."""
-    return rounded(models.binary_metrics(_linear_churn(spark, folder), "linear").filter("metric != 'auc_pr'"), 9, "value")
+    """The metrics of a fixed score."""
+    return rounded(models.binary_metrics(_linear_churn(spark, folder), "linear"), 9, "value")
 
 
 @query

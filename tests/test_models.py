@@ -9,7 +9,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tillview.operators import anomaly, forecast, models
+from tillview.operators import anomaly, forecast, models, seasonal, smoothing
 from tillview.operators.quality import by_group
 
 START = date(2024, 1, 1)
@@ -81,6 +81,79 @@ def test_seasonal_regression_follows_year_and_week(spark):
         forecast.forecast_seasonal(series(spark, 13, truth))
 
 
+def test_many_seasonal_series_are_each_fitted(spark):
+    """A long one, a short one, a constant one; one that is too short is left out."""
+    truth = {"a": lambda d: 200 + 0.1 * d + 30 * np.sin(2 * np.pi * d / 365.25) + (20 if d % 7 == 0 else 0), "b": lambda d: 40 - d + 9 * (d % 7 == 3), "c": lambda d: 5}
+    parts = [series(spark, 800, truth["a"], "a"), series(spark, 60, truth["b"], "b"), series(spark, 20, truth["c"], "c"), series(spark, 13, truth["c"], "d")]
+    every = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    rows = seasonal.design(every).persist()
+    fitted = seasonal.fit_seasonal(rows).persist()
+    assert {r.series_id: r.days for r in fitted.collect()} == {"a": 800, "b": 60, "c": 20}
+    assert all(r.gap < 1e-9 for r in seasonal.optimality(rows, fitted).collect())
+    worse = fitted.withColumn("coefficients", F.transform("coefficients", lambda c: c * 1.01))
+    assert {r.series_id for r in seasonal.optimality(rows, worse).filter("gap > 1e-4").collect()} == {"a", "b"}
+    out = {(r.series_id, r.forecast_date): r for r in seasonal.forecast_seasonal_many(every).collect()}
+    assert len(out) == 830 + 90 + 50
+    ahead = [abs(out["a", START + timedelta(d)].predicted_revenue - truth["a"](d)) for d in range(800, 830)]
+    assert max(ahead) < 12
+    assert out["c", START + timedelta(25)].predicted_revenue == pytest.approx(5) and out["c", START + timedelta(25)].is_future
+    x = np.random.default_rng(3).normal(size=(40, 5))
+    y = x @ [1, 2, 0, -1, 3] + 7
+    assert seasonal._solved(x, y, 0.0)[1] == pytest.approx([1, 2, 0, -1, 3])
+
+
+def slow_smoothing(y, a, b, g):
+    """Level, trend, season and squared errors after all days of a list."""
+    level, trend = sum(y[:7]) / 7, (sum(y[7:14]) / 7 - sum(y[:7]) / 7) / 7
+    season, squares = [v - level for v in y[:7]], 0.0
+    for day, v in enumerate(y[7:], 7):
+        e = v - (level + trend + season[day % 7])
+        level, trend = level + trend + a * e, trend + b * e
+        season[day % 7] += g * e
+        squares += e * e
+    return squares, level, trend, season
+
+
+def test_smoothing_is_the_recursion_at_its_best_constants(spark):
+    draw = np.random.default_rng(8)
+    noise = draw.normal(size=200)
+    values = {"up": lambda d: 10 + d + 5 * (d % 7) + noise[d], "jump": lambda d: (100 if d > 60 else 10) + noise[d], "short": lambda d: d}
+    every = series(spark, 90, values["up"], "up").union(series(spark, 120, values["jump"], "jump", skip={70})).union(series(spark, 13, values["short"], "short"))
+    got = {r.series_id: r for r in smoothing.fit_smoothing(every).collect()}
+    assert set(got) == {"up", "jump"}
+    for name, days in (("up", 90), ("jump", 120)):
+        y = [0.0 if (name, d) == ("jump", 70) else float(values[name](d)) for d in range(days)]
+        tried = {(a, b, g): slow_smoothing(y, a, b, g) for a in smoothing.LEVELS for b in smoothing.TRENDS for g in smoothing.SEASONS}
+        best = min(tried, key=lambda k: (tried[k][0], k))
+        r = got[name]
+        assert (r.alpha, r.beta, r.gamma, r.days) == (*best, days)
+        assert (r.squares, r.level, r.trend) == pytest.approx(tried[best][:3]) and r.season == pytest.approx(tried[best][3])
+    ahead = {(r.series_id, (r.forecast_date - START).days): r for r in smoothing.forecast_smoothing(every).collect()}
+    assert len(ahead) == 60
+    assert all(abs(ahead["up", d].predicted_revenue - (10 + d + 5 * (d % 7))) < 12 for d in range(90, 120))
+    widths = [ahead["up", d].upper_bound - ahead["up", d].lower_bound for d in range(90, 120)]
+    assert widths == sorted(widths) and widths[0] > 0
+
+
+def test_areas_under_curves_keep_ties_whole(spark):
+    """Against the points of the curves, one per distinct score."""
+    draw = np.random.default_rng(5)
+    rows = [(int(draw.random() < 0.3 + 0.4 * (s / 9)), float(s)) for s in draw.integers(0, 10, 500)]
+    df = spark.createDataFrame(rows, "label int, churn_probability double").repartition(7)
+    got = models.areas_under(df).first()
+    p = sum(label for label, _ in rows)
+    n = len(rows) - p
+    points, hits, misses = [], 0, 0
+    for cut in sorted({s for _, s in rows}, reverse=True):
+        hits += sum(1 for label, s in rows if s == cut and label)
+        misses += sum(1 for label, s in rows if s == cut and not label)
+        points.append((hits / p, misses / n, hits / (hits + misses)))
+    roc = sum((b[1] - a[1]) * (a[0] + b[0]) / 2 for a, b in zip([(0.0, 0.0), *points], points, strict=False))
+    pr = sum((b[0] - a[0]) * (a[2] + b[2]) / 2 for a, b in zip([(0.0, 0.0, points[0][2]), *points], points, strict=False))
+    assert (got.auc_roc, got.auc_pr) == pytest.approx((roc, pr))
+    assert tuple(models.areas_under(df.filter("label = 0")).first()) == (None, None)
+
+
 # -- isolation forest -------------------------------------------------------
 @pytest.fixture(scope="module")
 def planted(spark):

@@ -11,7 +11,6 @@ from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from tillview.functions.measures import hash_bucket, select_available
 from tillview.functions.policies import CLV_LABEL_RANGE
 from tillview.operators.lifetime import clv_features
+from tillview.operators.running import totals_before
 
 # The model inputs.
 CHURN_FEATURES = [
@@ -190,15 +190,31 @@ def clv_predictions(model: PipelineModel, test: DataFrame) -> DataFrame:
     return model.transform(test).select("customer_id", "label", "prediction")
 
 
+def areas_under(predictions: DataFrame, score: str = "churn_probability") -> DataFrame:
+    """One row (auc_roc, auc_pr): areas under the curves through every distinct score of rows
+    (label, ``score``), trapezia between them; NULL without both classes. Equal scores are one
+    point. Rows are counted by score, and those counts summed up by ranges of scores. A job."""
+    label = F.col("label").cast("int")
+    counted = predictions.groupBy(F.col(score).alias("score")).agg(
+        F.count_if(label == 1).alias("pos"), F.count_if(label == 0).alias("neg")
+    )
+    points = totals_before(counted, F.desc("score"), ["pos", "neg"])
+    pos, neg, hits, misses = (F.col(c) for c in ("pos", "neg", "pos_before", "neg_before"))
+    after = (hits + pos) / (hits + pos + misses + neg)
+    before = F.coalesce(F.try_divide(hits, hits + misses), after)  # the curve begins level
+    return points.agg(
+        F.try_divide(F.sum(neg * (hits + pos / 2)), F.sum(pos) * F.sum(neg)).alias("auc_roc"),
+        F.try_divide(F.sum(pos * (after + before) / 2), F.sum(pos)).alias("auc_pr"),
+    )
+
+
 def binary_metrics(
     predictions: DataFrame, name: str, score: str = "churn_probability"
 ) -> DataFrame:
     """(model, metric, value) of scored rows (label, prediction, ``score``): areas
     under ROC and PR over every distinct score, accuracy, and F1 weighted by the
     classes' sizes. Runs jobs; the rows should be a stored table."""
-    ranked = predictions.select(F.col("label").cast("double"), F.col(score).alias("score"))
-    # 0 bins: exact, however many scores there are
-    ranking = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
+    areas = areas_under(predictions, score).first()
     cells = {(r["label"], r["prediction"]): r["count"] for r in confusion_matrix(predictions).collect()}
     rows = sum(cells.values())
     f1 = 0.0
@@ -206,14 +222,10 @@ def binary_metrics(
         actual = sum(n for (label, _), n in cells.items() if label == side)
         guessed = sum(n for (_, guess), n in cells.items() if guess == side)
         f1 += actual / rows * 2 * cells.get((side, side), 0) / (actual + guessed)
-    values = [
-        ("auc_roc", ranking.evaluate(ranked, {ranking.metricName: "areaUnderROC"})),
-        ("auc_pr", ranking.evaluate(ranked, {ranking.metricName: "areaUnderPR"})),
-        ("accuracy", sum(n for (label, guess), n in cells.items() if label == guess) / rows if rows else 0.0),
-        ("f1", f1),
-    ]
+    accuracy = sum(n for (label, guess), n in cells.items() if label == guess) / rows if rows else 0.0
+    values = [("auc_roc", areas["auc_roc"]), ("auc_pr", areas["auc_pr"]), ("accuracy", accuracy), ("f1", f1)]
     return predictions.sparkSession.createDataFrame(
-        [(name, metric, float(value)) for metric, value in values],
+        [(name, metric, value) for metric, value in values],
         "model string, metric string, value double",
     )
 
