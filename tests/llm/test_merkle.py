@@ -83,7 +83,7 @@ def test_steps_of_any_stride_lead_to_the_root(spark, stride):
     for r in got:
         _, own, subroot, root, proof, *_ = want[r.doc_id]
         assert (r.leaf.hex(), r.subroot.hex(), r.root.hex(), r.folded.hex()) == (own, subroot, root, root)
-        assert h(r.siblings.hex()) == proof
+        assert h(r.proof.hex()) == proof
 
 
 def test_empty_table(empty):

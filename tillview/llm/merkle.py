@@ -23,7 +23,7 @@ root. Other columns take no part, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
@@ -34,7 +34,7 @@ from tillview.llm.shared import stage
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Levels between a stored node and its parent; a block of 2 ** STRIDE nodes is one row while it is built.
-STRIDE = 8
+STRIDE = 10
 #: The run of the subroots; those of languages begin with another sign.
 TOP = ""
 
@@ -153,7 +153,7 @@ def build(leaves: DataFrame, stride: int = STRIDE) -> tuple[DataFrame, DataFrame
     """From rows (run, digest, doc_id, ...): the rows as leaves with pos, path and parent; the
     node rows above (step, run, pos, digest, path, parent); the step at which the subroots
     are nodes; the number of steps; the root. Runs jobs; what reaches the driver is counts and the root."""
-    placed = stage(numbered(leaves, "run", ["doc_id", "digest"], "leaves"), "numbered")
+    placed = numbered(leaves, "run", ["doc_id", "digest"], "leaves")
     runs = stage(placed.groupBy("run").agg(F.count("*").alias("rows")), "runs")
     most, found = runs.agg(F.max("rows"), F.count("*")).first()
     top = _steps(most, stride)
@@ -169,17 +169,19 @@ def build(leaves: DataFrame, stride: int = STRIDE) -> tuple[DataFrame, DataFrame
         kept.append(rows.withColumn("step", F.lit(step)))
     nodes = reduce(DataFrame.unionByName, kept[1:])
     root = level.first()
-    return stage(kept[0], "leaves"), stage(nodes, "nodes"), top, last, root and bytes(root["digest"])
+    return kept[0], stage(nodes, "nodes"), top, last, root and bytes(root["digest"])
 
 
-def prove(leaves: DataFrame, stride: int = STRIDE) -> DataFrame:
-    """From rows (run, doc_id, digest, given): doc_id, leaf, subroot, root, siblings (digests end
-    to end, from the leaf to the root) and ``folded``, the root that the digest ``given``
-    leads to; digests are binary. Runs jobs."""
+def prove(leaves: DataFrame, stride: int = STRIDE, proof: Callable[[Column], Column] = lambda siblings: siblings) -> DataFrame:
+    """From rows (run, doc_id, digest, given): doc_id, leaf, subroot, root, ``folded`` (the root that
+    the digest ``given`` leads to) and ``proof``, by default the siblings' digests end to
+    end, from the leaf to the root, or what ``proof`` makes of them; digests are binary.
+    Runs jobs."""
     spark = leaves.sparkSession
     placed, nodes, top, last, root = build(leaves, stride)
     with _unlimited(spark):
-        climbed = stage(spark.sql(CLIMB, leaves=placed, nodes=nodes, top=top, last=last), "climbed")
+        climbed = spark.sql(CLIMB, leaves=placed, nodes=nodes, top=top, last=last)
+        climbed = stage(climbed.select("doc_id", "leaf", "subroot", "folded", proof(F.col("siblings")).alias("proof")), "climbed")
     return climbed.withColumn("root", F.lit(root).cast("binary"))
 
 
@@ -195,13 +197,13 @@ def manifest(docs: DataFrame, tampered: Column) -> DataFrame:
         F.when(F.col("tampered"), leaf_digest(n_chars=more)).alias("changed"),
     )
     given = leaves.select("run", "doc_id", "digest", F.coalesce("changed", "digest").alias("given"))
-    proved = prove(given)
+    proved = prove(given, proof=lambda siblings: F.sha2(hexed(siblings), 256))
     return proved.select(
         "doc_id",
         hexed(F.col("leaf")).alias("leaf"),
         hexed(F.col("subroot")).alias("subroot"),
         hexed(F.col("root")).alias("root"),
-        F.sha2(hexed(F.col("siblings")), 256).alias("proof_sha256"),
+        F.col("proof").alias("proof_sha256"),
         hexed(F.col("folded")).alias("folded_root"),
         (F.col("folded") == F.col("root")).alias("verified"),
     )
