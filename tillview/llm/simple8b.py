@@ -35,6 +35,8 @@ HEADER = "<4sIQQQQQQ"
 
 def bit_lengths(ids: np.ndarray) -> np.ndarray:
     """Bits of each unsigned id."""
+    if ids.dtype.itemsize <= 4:
+        return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     high = (ids >> np.uint64(32)).astype(np.uint32)
     low = (ids & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     bits = np.frexp(low.astype(np.float64))[1]
@@ -63,8 +65,8 @@ def _choices(bits: np.ndarray) -> np.ndarray:
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words, escapes, and the offsets of the blocks among the words."""
-    ids = ids.astype(np.uint64)
     chosen = _choices(bit_lengths(ids))
+    ids = ids.astype(np.uint64)
     steps = COUNTS[chosen].tolist()
     starts: list[int] = []
     offsets = [0]

@@ -7,9 +7,9 @@ and it commits whole tasks only, on any file system that Spark writes to. They a
 as binary files. Part and number of the frames give the order of documents; where a
 document starts among all ids is summed up from the frames.
 
-The texts' ids are those of their words between blanks, each encoded once per Python
-worker: the tokenizer never joins across a blank that follows something else than
-white space.
+The texts' ids are those of their words, each encoded once per Python worker: the tokenizer
+never joins across a blank that follows something else than white space, nor letters and
+digits with the comma, stop or line feed behind them.
 
 Null and empty texts have the end id alone. Null doc_ids come first, rows of one doc_id
 follow each other by a hash of their text, repeated rows are written each. Texts beyond a
@@ -24,6 +24,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,19 @@ from tillview.sources.staging import staging_path
 FRAME_IDS = 1 << 20
 FILE_FRAMES = 8
 #: Distinct words that a worker remembers (two generations of them), and words encoded together.
-WORDS, BATCH = 300_000, 10_000
+WORDS, BATCH = 600_000, 10_000
 #: Characters that are encoded at once.
 WINDOW = 1_000_000
-BROKEN, BORDER = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+#: Characters of texts whose new words are learnt together.
+TOGETHER = 1_000_000
+#: Where words next to each other can't be told apart simply.
+CLOSE = ("\0", "\n ", "\n\n\n", ",,", "..", ",.", ".,")
+BORDER = re.compile(r"(?<=\S)(?= )")
 CUT = re.compile(r"\S(?= )")
+#: Letters below this are the same to Python and to the tokenizer, whatever Unicode version they know.
+OLD_LETTERS = "\u0250"
+#: What may stand alone between two borders.
+SIMPLE = ("\n", ",", ".")
 
 
 class ByteIds:
@@ -55,60 +64,107 @@ class ByteIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer.decode())
-        self.added = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
-        tokens = self.tokenizer.get_vocab()
+        self.tokenizer.model._resize_cache(0)  # words come once
+        tokens, added = self.tokenizer.get_vocab(), {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.sizes = np.zeros(max(tokens.values()) + 1, np.int64)  # in bytes; a letter of a token stands for one
         for token, k in tokens.items():
-            self.sizes[k] = len(self.added[k].encode()) if k in self.added else len(token)
-        self.known: dict[str, bytes] = {"": b""}
-        self.before: dict[str, bytes] = {}
-
-    def _learn_together(self, words: list[str]) -> list[str]:
-        """Words that begin with a blank and end in something else; returns those it could not tell apart."""
-        (found,) = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)
+            self.sizes[k] = len(token.encode() if token in added else token)
+        # simple words; None for those whose borders depend on their neighbours; others after "\0"
+        self.known: dict[str, bytes | None] = {"": b""}
+        self.before: dict[str, bytes | None] = {}
+
+    def _learn_plain(self, words: list[str], lead: str = "") -> list[str]:
+        """Words of letters that begin with a blank, or with nothing where ``lead`` is a line feed,
+        encoded as one text; returns those it could not tell apart."""
+        text = lead + lead.join(words)
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(found.ids, "<u4")
-        ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+        data = text.encode()
+        ends = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) == ord(lead or " "))[1:], len(data))
         upto = np.cumsum(self.sizes[ids])
         cuts = np.searchsorted(upto, ends)
-        if cuts[-1] >= len(ids) or (upto[cuts] != ends).any():
+        if len(ends) != len(words) or cuts[-1] >= len(ids) or (upto[cuts] != ends).any():
             return words
-        whole, places = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()]
-        self.known.update(zip(words, (whole[a:b] for a, b in zip(places, places[1:], strict=False)), strict=True))
+        whole, stops = ids.tobytes(), (4 * (cuts + 1)).tolist()
+        starts = [4 * len(lead) + k for k in (0, *stops[:-1])]  # a line feed is one token
+        self.known.update(zip(words, (whole[a:b] for a, b in zip(starts, stops, strict=True)), strict=True))
         return []
 
-    def _learn(self, words: set[str], all_words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > WORDS:
-            self.before, self.known, words = self.known, {"": b""}, all_words - {""}
-        old = {w: self.before[w] for w in words if w in self.before}
-        self.known.update(old)
-        new = [w for w in words if w not in old]
-        apart = lambda w: w[0] != " " or w[-1].isspace() or any(t in w for t in self.added.values())
-        rest, plain = [w for w in new if apart(w)], [w for w in new if not apart(w)]
-        for first in range(0, len(plain), BATCH):
-            rest += self._learn_together(plain[first : first + BATCH])
-        for first in range(0, len(rest), BATCH):
-            part = rest[first : first + BATCH]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            self.before, self.known = self.known, {"": b""}
+        led, bare, rest = [], [], []
+        for word in words.difference(self.known):
+            if word in self.before:
+                self.known[word] = self.before[word]
+                continue
+            letters = word[1:] if word[0] == " " else word
+            if letters.isalpha() and (word.isascii() or max(word) < OLD_LETTERS):
+                (led if word[0] == " " else bare).append(word)
+            elif word[0] == "\0" or word in SIMPLE or (word[-1].isalnum() and word[-1] < OLD_LETTERS and not letters[0].isspace()):
+                rest.append(word)
+            else:
+                self.known[word] = None
+        for plain, lead in ((led, ""), (bare, "\n")):
+            for part in batched(plain, BATCH):
+                rest += self._learn_plain(list(part), lead)
+        for part in batched(rest, BATCH):
+            texts = [w.removeprefix("\0") for w in part]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def __call__(self, text: str) -> bytes:
-        if "\0" in text or BROKEN.search(text):
-            words = BORDER.split(text)
+    def _joined(self, words: list[list[str]]) -> list[bytes | None]:
+        """The ids of texts from their words; None where a word's border is not sure."""
+        distinct = set().union(*words)
+        self._learn(distinct)
+        out: list[bytes | None] = []
+        for own in words:
+            try:
+                out.append(b"".join(map(self.known.__getitem__, own)))
+            except TypeError:  # None among them
+                out.append(None)
+        return out
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        simple = [k for k, t in enumerate(texts) if not t.endswith("\n\n") and not any(c in t for c in CLOSE)]
+        parts = lambda t: t.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(",", "\0,").replace(".", "\0.").split("\0")
+        found = dict(zip(simple, self._joined([parts(texts[k]) for k in simple]), strict=True))
+        marked = [k for k, t in enumerate(texts) if "\0" in t]
+        for k, ids in zip(marked, self.tokenizer.encode_batch_fast([texts[k] for k in marked], add_special_tokens=False), strict=True):
+            found[k] = np.array(ids.ids, "<u4").tobytes()
+        others = [k for k in range(len(texts)) if found.get(k) is None]
+        words = [BORDER.split(texts[k]) for k in others]
+        distinct = set().union(*words)
+        self._learn(distinct)
+        unsure = {w for w in distinct if self.known[w] is None}
+        found.update(zip(others, self._joined([["\0" + w if w in unsure else w for w in own] for own in words]), strict=True))
+        return [found[k] for k in range(len(texts))]
+
+
+def windows(text: str, size: int = WINDOW) -> Iterator[str]:
+    """A text in parts that are encoded like the whole, cut before blanks behind something else."""
+    begin = 0
+    while len(text) - begin > size and (border := CUT.search(text, begin + size)):
+        yield text[begin : border.end()]
+        begin = border.end()
+    yield text[begin:]
+
+
+def encoded(ids: ByteIds, rows: Iterator[tuple[int | None, str]]) -> Iterator[tuple[int | None, Iterator[bytes]]]:
+    """Of rows (doc_id, text) each doc_id with the ids of its text, in parts if it is long. Short
+    texts are encoded some together."""
+    held: list[tuple[int | None, str]] = []
+    chars = 0
+    for doc_id, text in rows:
+        if chars + len(text) > TOGETHER:
+            yield from zip([h[0] for h in held], ([x] for x in ids([h[1] for h in held])), strict=True)
+            held, chars = [], 0
+        if len(text) > WINDOW:
+            yield doc_id, (ids([part])[0] for part in windows(text))
         else:
-            words = text.replace(" ", "\0 ").split("\0")
-        distinct = set(words)
-        new = distinct.difference(self.known)
-        if new:
-            self._learn(new, distinct)
-        return b"".join(map(self.known.__getitem__, words))
-
-    def windows(self, text: str, size: int = WINDOW) -> Iterator[bytes]:
-        """The ids of a text of any length, some at a time."""
-        begin = 0
-        while len(text) - begin > size and (border := CUT.search(text, begin + size)):
-            yield self(text[begin : border.end()])
-            begin = border.end()
-        yield self(text[begin:])
+            held.append((doc_id, text))
+            chars += len(text)
+    yield from zip([h[0] for h in held], ([x] for x in ids([h[1] for h in held])), strict=True)
 
 
 class FrameMaker:
@@ -161,14 +217,14 @@ def write_tokens(docs: DataFrame, tokenizer: bytes, path: str, end_id: int = 0,
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, maker = once(shared.value, ByteIds), FrameMaker(TaskContext.get().partitionId(), frame_ids)
 
-        def parts(text: str) -> Iterator[bytes]:
-            yield from ids.windows(text)
-            yield end
-
-        def found() -> Iterator[bytes]:
+        def rows() -> Iterator[tuple[int | None, str]]:
             for batch in batches:
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    yield from maker.add(doc_id, parts(text.as_py() or ""))
+                    yield doc_id, text.as_py() or ""
+
+        def found() -> Iterator[bytes]:
+            for doc_id, parts in encoded(ids, rows()):
+                yield from maker.add(doc_id, chain(parts, [end]))
             yield from maker.flush()
 
         for frame in found():
