@@ -16,11 +16,21 @@ EDGES = [
 ]
 
 
+#: Columns with the names of helper columns, which must come through.
+OWN = {name: f"mine: {name}" for name in "told above found kept_id kept_hash kept_copies place print root _print _n _known _found _above _lang _score _rejected lang_of verdict_of".split()}
+
+
+def own_columns(df):
+    """Whether the columns of ``OWN`` have come through."""
+    return df.select(*OWN).distinct().collect() in ([], [tuple(OWN.values())])
+
+
 @pytest.fixture(scope="session")
 def edges(spark):
     """Documents with the edge cases and columns whose names operators use."""
-    rows = [(*r, "src", 0.5, "x", 9) for r in EDGES]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double, predicted string, piece int")
+    rows = [(*r, "src", 0.5, "x", 9, *OWN.values()) for r in EDGES]
+    own = ", ".join(f"{name} string" for name in OWN)
+    return spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, score double, predicted string, piece int, {own}")
 
 
 @pytest.fixture(scope="session")

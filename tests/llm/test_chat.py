@@ -43,8 +43,10 @@ def test_edges_and_parts(spark, monkeypatch, most):
     monkeypatch.setattr(chat, "PART_CHARS", most)
     rows = spark.createDataFrame([(*t, "f") for t in TURNS], "conv_id long, turn long, role string, text string, formatted string")
     formatted = chat.format_chat(rows, CONTENT)
-    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(formatted, in_order=True).collect()}
     assert got == expected()
+    for layout in (formatted.repartition(7, "part"), formatted.orderBy("part")):
+        assert {r.conv_id: tuple(r)[1:5] for r in chat.read_back(layout).collect()} == got
     assert (formatted.count() > len(got)) == (most <= 3000)
     assert chat.read_back(chat.format_chat(rows.where("false"), CONTENT)).count() == 0
 

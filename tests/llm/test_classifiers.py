@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import own_columns
 from tillview.llm import langid, quality, toxicity
 from tillview.llm.linear import Leader, remainder, sample, unanimous
 from tillview.llm.queries import REGISTRY
@@ -56,7 +57,9 @@ def test_edge_rows(edges, documents):
     assert by_text[None] == by_text[""] == by_text[" \t\n "]
     graded = toxicity.score_severity(edges, toxicity.fit_severity(edges, labels)).collect()
     assert len(graded) == 10 and all(0 <= r.severity <= toxicity.LEVELS for r in graded)
-    told = langid.identify(edges, langid.fit_languages(edges.unionByName(documents, allowMissingColumns=True))).collect()
+    identified = langid.identify(edges, langid.fit_languages(edges.unionByName(documents, allowMissingColumns=True)))
+    assert own_columns(identified) and own_columns(toxicity.score_severity(edges, toxicity.fit_severity(edges, labels)))
+    told = identified.collect()
     und = {r.text for r in told if r.lang_pred == langid.UNKNOWN}
     assert und == {None, "", " \t\n ", "123 456 !!"}
     assert all(r.rejected and r.score == 0 for r in told if r.text in und)

@@ -3,6 +3,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from conftest import own_columns
 from tillview.llm import simhash
 from tillview.llm.components import connected
 from tillview.llm.queries import REGISTRY
@@ -71,6 +72,7 @@ def test_edges(edges):
 def test_one_of_each_group_stays(edges, empty):
     kept = simhash.keep_one(edges)
     assert kept.columns == edges.columns and kept.schema == edges.schema
+    assert own_columns(kept)
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(x or -1 for x in ids) == [-1, 1, 4, 5, 7, 8]
     assert simhash.keep_one(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0

@@ -23,8 +23,8 @@ URLS = [
 
 
 def table(spark):
-    rows = [(i, u, "h", "r", "v") for i, u, _, _ in URLS]
-    return spark.createDataFrame(rows, "page_id long, url string, host string, rule string, verdict string")
+    rows = [(i, u, "h", "r", "mine", "v", "too") for i, u, _, _ in URLS]
+    return spark.createDataFrame(rows, "page_id long, url string, host string, rule string, _found string, verdict string, found string")
 
 
 def test_edges_in_both_ways(spark):
@@ -34,6 +34,8 @@ def test_edges_in_both_ways(spark):
     for judged in (judge(pages, URL_RULES), judge_joined(pages, listed)):
         assert sorted((r.page_id, r.rule or "", r.verdict) for r in judged.collect()) == want
         assert judged.where("host is null or path is null").count() == 0
+        assert judged.columns == ["page_id", "url", "_found", "found", "host", "path", "rule", "verdict"]
+        assert judged.select("_found", "found").distinct().collect() == [("mine", "too")]
 
 
 def test_longest_rule_wins_and_block_at_a_tie():

@@ -128,11 +128,14 @@ def under(formatted: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray
     return "".join(formatted[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True) if i < j)
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
+def read_back(formatted: DataFrame, in_order: bool = False) -> DataFrame:
     """One row per conversation, from the output of ``format_chat`` alone: n_turns,
     turns_sha256 over role, line feed, text, line feed of every turn; loss_chars and
     loss_sha256 of the unescaped text under the loss mask; formatted_chars. Digests run
-    on over the parts of a conversation."""
+    on over the parts of a conversation, which are brought together and ordered first;
+    ``in_order`` says that they still lie as ``format_chat`` has left them."""
+    if not in_order:
+        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
     out = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ from pyspark.sql.types import BinaryType
 
 from tillview.llm.linear import gather, pack, sample, unpack
 from tillview.llm.spans import blocks, segment_sums
+from tillview.llm.shared import unused
 
 DIM = 1 << 15
 WIDTH = 16
@@ -186,11 +187,12 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", into: tu
 
     known = has_letter(F.col(text)) if model.languages else F.lit(False)
     names = F.array(*map(F.lit, [*model.languages, UNKNOWN]))
-    out = docs.withColumn("_known", known).withColumn("_found", predict(F.col(text)))
-    return out.withColumns(
+    own = unused(docs, "told")
+    told = F.col(own)
+    return docs.withColumn(own, F.struct(known.alias("known"), predict(F.col(text)).alias("found"))).withColumns(
         {
-            into[0]: F.when(F.col("_known"), F.get(names, F.col("_found.lang"))).otherwise(UNKNOWN),
-            into[1]: F.when(F.col("_known"), F.col("_found.score")).otherwise(0.0),
-            into[2]: ~F.col("_known") | (F.col("_found.score") < model.limit),
+            into[0]: F.when(told["known"], F.get(names, told["found"]["lang"])).otherwise(UNKNOWN),
+            into[1]: F.when(told["known"], told["found"]["score"]).otherwise(0.0),
+            into[2]: ~told["known"] | (told["found"]["score"] < model.limit),
         }
-    ).drop("_known", "_found")
+    ).drop(own)

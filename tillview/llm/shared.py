@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillview.sources.staging import stage
 
-__all__ = ["batches", "once", "stage", "table", "vocabulary"]
+__all__ = ["batches", "once", "stage", "table", "unused", "vocabulary"]
 
 
 #: Rows of a batch that Python works on; the usual 10,000 are a lot of memory where rows are texts.
@@ -28,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` or, where ``df`` has such a column, a longer one that it has not."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def vocabulary(name: str) -> bytes:
     """A public vocabulary file, read on the driver; a few MB at the most."""
     import public_tokenizers

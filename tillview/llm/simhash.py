@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from tillview.llm.components import connected
-from tillview.llm.shared import stage
+from tillview.llm.shared import stage, unused
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -99,11 +99,23 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE_WORDS, radius: int =
 
 
 def keep_one(docs: DataFrame, length: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """One document of each component, the one with the least doc_id, with the columns
-    of ``docs``. Runs jobs. Copies within a fingerprint go before the shuffle."""
-    printed = docs.withColumn("_print", fingerprint(F.col("text"), length))
-    kept = groups(stage(printed.select("doc_id", F.col("_print").alias("print")), "simhash"), radius)
-    kept = kept.where("print = keeper").select(F.col("print").alias("_print"))
-    order = Window.partitionBy("_print").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    first = printed.withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    return first.join(kept, "_print", "left_semi").select(*docs.columns)
+    """One document of each component, the one with the least doc_id (null last), with the
+    columns of ``docs``; of rows with one id the one with the least hash of its text, of
+    equal rows any. Runs jobs. Texts are hashed once, and only those that stay are joined."""
+    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.xxhash64("text")]
+    keys = stage(docs.select("doc_id", key[1].alias("text_hash"), fingerprint(F.col("text"), length).alias("print")), "simhash")
+    roots = groups(keys.select("doc_id", "print"), radius).select("print", "root")
+    rows = keys.groupBy("print", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "copies")).alias("first")
+    kept = stage(rows.join(roots, "print").groupBy("root").agg(first).select("first.*"), "kept")
+    own = [unused(docs, name) for name in ("kept_id", "kept_hash", "kept_copies")]
+    kept = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).alias(own[0]), F.col("text_hash").alias(own[1]), F.col("copies").alias(own[2]))
+    found = docs.withColumns(dict(zip(own, key, strict=False))).join(kept, own[:2])
+    once = found.where(F.col(own[2]) == 1).select(*docs.columns)
+    if kept.where(F.col(own[2]) > 1).isEmpty():
+        return once
+    # rows that are there several times: one of each, before the shuffle too
+    place = unused(found, "place")
+    order = Window.partitionBy(*own[:2]).orderBy(F.lit(1))
+    several = found.where(F.col(own[2]) > 1).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return once.union(several.select(*docs.columns))

@@ -31,6 +31,7 @@ from pyspark.sql.types import BinaryType
 
 from tillview.llm.linear import Leader, gather, one_text, sample, unanimous
 from tillview.llm.spans import blocks, mix, runs, span_hashes
+from tillview.llm.shared import unused
 
 DIM = 1 << 20
 #: Clean and toxic labelled rows that the model is fitted on, at most (about: chosen by hash).
@@ -163,8 +164,9 @@ def score_severity(docs: DataFrame, model: Severity, text: str = "text") -> Data
             yield pa.ListArray.from_arrays(np.arange(len(flat) + 1, dtype=np.int32) * len(theta), pa.array(flat.ravel()))
 
     levels = len(model.thresholds)
-    marked = docs.withColumn("_above", chances(F.col(text)))
-    above = [F.lit(1.0), *(F.get("_above", F.lit(k)) for k in range(levels)), F.lit(0.0)]
+    own = unused(docs, "above")
+    marked = docs.withColumn(own, chances(F.col(text)))
+    above = [F.lit(1.0), *(F.get(own, F.lit(k)) for k in range(levels)), F.lit(0.0)]
     share = [above[k] - above[k + 1] for k in range(levels + 1)]
     grade = F.array_max(F.array(*(F.struct(p.alias("p"), F.lit(-k).alias("k")) for k, p in enumerate(share))))
     return marked.withColumns(
@@ -174,4 +176,4 @@ def score_severity(docs: DataFrame, model: Severity, text: str = "text") -> Data
             "score": above[1],
             "predicted": (above[1] >= FLAG).cast("int"),
         }
-    ).drop("_above")
+    ).drop(own)

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from tillview.llm.shared import unused
+
 DEFAULT = "allow"
 #: Rules that are broadcast as a trie, at most; beyond that they are joined.
 TRIE_RULES = 200_000
@@ -103,8 +105,15 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
             found = [find(trie, h, p) for h, p in zip(hosts.to_pylist(), paths.to_pylist(), strict=True)]
             yield pa.StructArray.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)], ["rule", "verdict"])
 
-    judged = split_url(pages, url).withColumn("_found", walk("host", "path"))
-    return judged.withColumns({"rule": F.col("_found.rule"), "verdict": F.coalesce("_found.verdict", F.lit(DEFAULT))}).drop("_found")
+    own = unused(pages, "found")
+    judged = split_url(pages, url).withColumn(own, walk("host", "path"))
+    return _shown(pages, judged.withColumns({"rule": F.col(own)["rule"], "verdict": F.coalesce(F.col(own)["verdict"], F.lit(DEFAULT))}))
+
+
+def _shown(pages: DataFrame, judged: DataFrame) -> DataFrame:
+    """The columns of ``pages``, then the four that both ways add; such columns of ``pages`` are replaced."""
+    added = ["host", "path", "rule", "verdict"]
+    return judged.select(*[c for c in pages.columns if c not in added], *added)
 
 
 def judge_joined(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
@@ -122,6 +131,7 @@ def judge_joined(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFr
     once = once.select(F.col("host").alias("_tail"), F.col("path").alias("_start"), "verdict")
     order = Window.partitionBy("host", "path").orderBy(F.size(F.split("_tail", r"\.")).desc(), F.length("_start").desc())
     best = keys.join(once, ["_tail", "_start"]).withColumn("_n", F.row_number().over(order)).where("_n = 1")
-    best = best.select("host", "path", F.concat("_tail", "_start").alias("_rule"), F.col("verdict").alias("_verdict"))
-    joined = split.join(best, ["host", "path"], "left").withColumns({"rule": F.col("_rule"), "verdict": F.coalesce("_verdict", F.lit(DEFAULT))})
-    return joined.drop("_rule", "_verdict").select(*[c for c in pages.columns if c not in ("host", "path", "rule", "verdict")], "host", "path", "rule", "verdict")
+    own = unused(pages, "found")
+    best = best.select("host", "path", F.struct(F.concat("_tail", "_start").alias("rule"), "verdict").alias(own))
+    joined = split.join(best, ["host", "path"], "left")
+    return _shown(pages, joined.withColumns({"rule": F.col(own)["rule"], "verdict": F.coalesce(F.col(own)["verdict"], F.lit(DEFAULT))}))
