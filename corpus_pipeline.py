@@ -13,22 +13,23 @@ from pyspark.sql import functions as F
 from tillview.llm import langid, packing, quality, simhash
 from tillview.llm.linear import remainder
 from tillview.llm.queries import PACKING_VOCABULARY, learnt_labels
-from tillview.llm.shared import batches, stage, table, vocabulary
+from tillview.llm.shared import batches, stage, table, unused, vocabulary
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told with enough confidence; those without a letter go."""
     batches(spark)
     model = langid.fit_languages(docs.where(remainder("doc_id", 4) != 2))
-    marked = langid.identify(docs, model, into=("_lang", "_score", "_rejected"))
-    return marked.where("not _rejected").select(*docs.columns)
+    own = tuple(unused(docs, name) for name in ("lang_of", "score_of", "rejected"))
+    return langid.identify(docs, model, into=own).where(~F.col(own[2])).select(*docs.columns)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     batches(spark)
     weights = quality.fit_quality(docs.select("doc_id", "text"), learnt_labels(spark, sf_dir, "quality"))
-    return quality.score_quality(docs, weights, into="_score").where(F.col("_score") >= quality.ACCEPT).select(*docs.columns)
+    own = unused(docs, "score_of")
+    return quality.score_quality(docs, weights, into=own).where(F.col(own) >= quality.ACCEPT).select(*docs.columns)
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
