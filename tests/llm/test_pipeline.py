@@ -7,6 +7,7 @@ from pathlib import Path
 
 import corpus_pipeline
 import pytest
+from conftest import own_columns
 from test_packing import check
 from test_simhash import slow, slow_components
 
@@ -48,14 +49,15 @@ def test_edges_in_every_stage(spark, edges, empty, stage):
     assert work(spark, empty, FOLDER).count() == 0
     kept = work(spark, edges, FOLDER)
     if name != "best_fit_packing":
-        assert kept.schema == edges.schema
+        assert kept.schema == edges.schema and own_columns(kept)
     assert kept.count() <= 10 or name == "best_fit_packing"
 
 
-def test_entry_without_the_subpackage(tmp_path):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_entry_without_the_subpackage(tmp_path, pipeline):
     """The rest imports and answers when these folders are gone."""
     copy = tmp_path / "copy"
-    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", *([] if pipeline else ["corpus_pipeline.py"]), "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 70 and not [n for n in q if n.startswith('op1_')] and 'pipeline' not in q"
     subprocess.run([sys.executable, "-c", code], cwd=copy, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""}, check=True, timeout=120)
 
@@ -67,7 +69,7 @@ import sys; sys.path.insert(0, {str(ROOT)!r})
 from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).config("spark.sql.shuffle.partitions", "2").getOrCreate()
 import __spark_entry__ as entry
-for name in ("op1_quality", "op2_toxicity", "op3_url_filter", "op4_best_fit_packing", "op5_simhash", "op6_language_id", "op8_byte_bpe", "op9_chat_format", "op10_hilbert_ann"):
+for name in ("op1_quality", "op2_toxicity", "op3_url_filter", "op4_best_fit_packing", "op5_simhash", "op6_language_id", "op8_byte_bpe", "op9_chat_format", "op10_hilbert_ann", "op12_token_files", "op13_collocations"):
     entry.queries()[name](spark, {FOLDER!r}).write.format("noop").mode("overwrite").save()
 """
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=300, capture_output=True)
