@@ -7,7 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tillview.llm.packing import Bins, Ids, pack
+from tillview.llm import packing
+from tillview.llm.packing import CAPACITY, OPEN_BINS, Bins, Ids, pack, pieces
 from tillview.llm.queries import PACKING_VOCABULARY, REGISTRY
 from tillview.llm.shared import vocabulary
 
@@ -52,6 +53,25 @@ def test_empty_table(empty):
     assert pack(empty, CONTENT).count() == 0
 
 
+def test_bins_close_and_waste_little(spark):
+    """In arrival order, at the production bound, on the larger of the small tables."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    lengths = [r.length for r in pieces(docs, CONTENT).select("length").collect()]
+    bins = Bins(CAPACITY, OPEN_BINS)
+    for n in lengths:
+        bins.place(n)
+    assert bins.closed > 0
+    assert bins.made <= 1.02 * -(-sum(lengths) // CAPACITY)
+
+
+def test_words_are_forgotten_in_two_generations(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 40)
+    ids = Ids(CONTENT)
+    for k in range(60):
+        text = f"word{k}, the other word{k % 7} and more!"
+        assert np.frombuffer(ids(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from("aeé İΣς'.,!|<>-_#1٣½\n\t\xa0́🎉 st"), st.characters(codec="utf-8")), max_size=60))
 def test_word_ids_are_the_tokenizers(text):

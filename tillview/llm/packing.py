@@ -1,12 +1,15 @@
 """Packing of tokenised documents into sequences: bounded-space online best-fit.
 
 Documents become token ids and a closing id; longer ones than a sequence are cut.
-Pieces are dealt to tasks of about ``TASK_PIECES`` pieces and placed one by one, long
-ones first: into the open bin with the least free space that holds the piece, else into a new bin.
-``OPEN_BINS`` bins are open at a time; where one more is needed the fullest is closed.
-Open bins are found through a bit set keyed by free space.
-
-Null texts are empty and have the closing id alone. Repeated rows are packed each.
+Pieces are dealt to tasks of about ``TASK_PIECES`` pieces and placed one by one, in the
+order of a hash: into the open bin with the least free space that holds the piece, else into a
+new bin. ``OPEN_BINS`` bins are open at a time; where one more is needed the fullest is
+closed. Open bins are found through a bit set keyed by free space.
+
+Null and empty texts have the closing id alone; a text of any length is cut into as many
+pieces as it needs. Rows of one id, and repeated rows, are packed each. Null ids are
+packed like others. Which of equally full bins takes a piece does not matter. An empty
+table gives no pieces. Other columns take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,13 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillview.llm.shared import stage
+from tillview.llm.shared import once, stage
 
 CAPACITY = 2048
-OPEN_BINS = 1 << 16
+OPEN_BINS = 256
 TASK_PIECES = 100_000
-#: Distinct words whose ids a task remembers, at most.
-WORDS = 600_000
+#: Distinct words whose ids a worker remembers, in each of two generations.
+WORDS = 300_000
 #: Words that are encoded together, and how the tokens that close a word end.
 BATCH, WORD_END = 10_000, "</w>"
 
@@ -49,7 +52,9 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(tokenizer.decode()), {"": b""}
+        self.tokenizer = Tokenizer.from_str(tokenizer.decode())
+        self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -82,8 +87,11 @@ class Ids:
         new = set(words).difference(self.known)
         if new:
             if len(self.known) + 2 * len(new) > WORDS:
-                self.known = {"": b""}
+                self.before, self.known = self.known, {"": b""}
                 new = set(words) - {""}
+            old = {w: self.before[w] for w in new if w in self.before}
+            self.known.update(old)
+            new.difference_update(old)
             ended = [(w, stem) for w in new if len(stem := w.rstrip(punctuation)) < len(w) and stem[-1:].lower()[-1:].isalnum() and "<|" not in w]
             new.difference_update([w for w, _ in ended])
             new.update({x for w, stem in ended for x in (stem, w[len(stem) :])}.difference(self.known))
@@ -99,7 +107,7 @@ class Bins:
     def __init__(self, capacity: int, limit: int) -> None:
         self.capacity, self.limit = capacity, limit
         self.free, self.by_free = 0, [[] for _ in range(capacity + 1)]  # bit f: some open bin has f free
-        self.open = self.made = 0
+        self.open = self.made = self.closed = 0
 
     def _take(self, free: int) -> int:
         bins = self.by_free[free]
@@ -117,6 +125,7 @@ class Bins:
         else:
             if length < self.capacity and self.open >= self.limit:
                 self._take((self.free & -self.free).bit_length() - 1)
+                self.closed += 1
             free, at = self.capacity, self.made
             self.made += 1
         left = free - length
@@ -130,12 +139,12 @@ class Bins:
 def pieces(docs: DataFrame, tokenizer: bytes, capacity: int = CAPACITY, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) as pieces of at most ``capacity`` ids. ``tokenizer``
     is the content of a tokenizer file, whose size bounds what is broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    shared = docs.sparkSession.sparkContext.broadcast({"content": tokenizer})
     out = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(shared.value)
+        ids = once(shared.value, Ids)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -157,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: bytes, capacity: int = CAPACITY, open_bins:
     cut = stage(pieces(docs, tokenizer, capacity, end_id, keep_ids), "pieces")
     tasks = 1 + cut.count() // TASK_PIECES
     # a fixed arrival order, so that a task that runs again gives the same places
-    order = [F.col("length").desc(), F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("doc_id"), F.col("piece")]
+    order = [F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("doc_id"), F.col("piece")]
     dealt = cut.repartition(tasks).sortWithinPartitions(*order)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
