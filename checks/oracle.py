@@ -865,5 +865,8 @@ SELECTS["segments_fixed_point"] = "SELECT count(*) AS customers, true AS all_cen
 SELECTS["churn_lr_optimal"] = f"SELECT count(*) AS rows, true AS all_rows, true AS optimal FROM v_features WHERE {_TRAIN}"
 SELECTS["clv_lr_optimal"] = f"""SELECT count(*) AS rows, true AS all_rows, true AS optimal FROM (
   {SELECTS['clv_training_set']}) WHERE {_TRAIN}"""
+SELECTS["gbt_node_scores"] = f"SELECT count(*) AS customers, 0 AS differing FROM v_features WHERE NOT {_TRAIN}"
+SELECTS["saved_model"] = f"""SELECT count(*) AS customers, 0 AS differing FROM (
+  {SELECTS['clv_training_set']}) WHERE NOT {_TRAIN}"""
 
 ORACLE.update({name: statement(select) for name, select in SELECTS.items()})

@@ -812,6 +812,26 @@ def churn_gbt(spark, folder):
     return models.churn_predictions(_churn_model(spark, folder, "gbt"), test)
 
 
+@query
+def gbt_node_scores(spark, folder):
+    """The boosted trees scored from their node table, against the model's own scores."""
+    _, test = _churn_split(spark, folder)
+    model = _churn_model(spark, folder, "gbt")
+    own = models.gbt_scores(model, test).withColumnRenamed("churn_probability", "by_nodes")
+    both = models.churn_predictions(model, test).join(own.select("customer_id", "by_nodes"), "customer_id")
+    return both.agg(F.count("*").alias("customers"), F.count_if(F.abs(F.col("churn_probability") - F.col("by_nodes")) > 1e-12).alias("differing"))
+
+
+@query
+def saved_model(spark, folder):
+    """A model written and read back gives the same scores."""
+    model, _, test = _clv_model(spark, folder)
+    path = models.save_model(model, staging_path(spark, "model"))
+    again = models.clv_predictions(models.load_model(path), test).withColumnRenamed("prediction", "again")
+    both = models.clv_predictions(model, test).join(again.select("customer_id", "again"), "customer_id")
+    return both.agg(F.count("*").alias("customers"), F.count_if(F.col("prediction") != F.col("again")).alias("differing"))
+
+
 @query
 def churn_importance(spark, folder):
     ranked = models.feature_importance(_churn_model(spark, folder, "gbt"))

@@ -312,6 +312,9 @@ def test_models_are_saved_and_load(spark, lake, tmp_path, monkeypatch):
     tables, store, _ = lake
     medallion = Medallion(store, AS_OF, lambda name: store.read(f"{name}_bronze"), LOADED, _built=dict(tables))
     paths = train_models(medallion, str(tmp_path / "artifacts"))
+    written = {(r.model, r.metric) for r in store.read("model_metrics_gold").collect()}
+    assert written == {(m, x) for m in ("churn_lr", "churn_gbt") for x in ("auc_roc", "auc_pr", "accuracy", "f1")} | {("clv_lr", x) for x in ("rmse", "mae", "r2")}
+    assert 0 < store.read("feature_importance_gold").count() <= 10
     model = PipelineModel.load(paths["clv_lr"])
     data = models.clv_training_set(tables["customer_clv_features_gold"], tables["customer_features_gold"])
     metrics = models.regression_metrics(models.clv_predictions(model, data)).first()

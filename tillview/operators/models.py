@@ -8,19 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillview.functions.measures import hash_bucket, select_available
 from tillview.functions.policies import CLV_LABEL_RANGE
 from tillview.operators.lifetime import clv_features
 from tillview.operators.running import totals_before
+from tillview.operators.trees import margin, tree_nodes, walked
 
 # The model inputs.
 CHURN_FEATURES = [
@@ -292,6 +294,28 @@ def regression_metrics(predictions: DataFrame) -> DataFrame:
     )
 
 
+def gbt_scores(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """(customer_id, label, margin, churn_probability) by the trees' own nodes: the same scores as
+    the model's, from its node table and built-in expressions."""
+    inputs = F.array(*(F.col(c).cast("double") for c in model.stages[0].getInputCols()))
+    scored = rows.withColumn("_trees", walked(tree_nodes(model))).withColumn("margin", margin(inputs, F.col("_trees"), BOOSTED["maxDepth"]))
+    chance = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin")))
+    return scored.select("customer_id", "label", "margin", chance.alias("churn_probability"))
+
+
+def model_metrics(spark: SparkSession, churn: dict[str, DataFrame], clv: DataFrame) -> DataFrame:
+    """(model, metric, value) of churn predictions by model name and of lifetime-value predictions. Runs jobs."""
+    parts = [binary_metrics(scored, name) for name, scored in churn.items()]
+    errors = regression_metrics(clv).first().asDict()
+    parts.append(spark.createDataFrame([("clv_lr", name, value) for name, value in errors.items()], parts[0].schema if parts else "model string, metric string, value double"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def load_model(path: str) -> PipelineModel:
+    """A model that ``save_model`` has written."""
+    return PipelineModel.load(path)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
