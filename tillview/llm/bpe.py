@@ -6,7 +6,9 @@ positions where its pair stands, and the merges are applied in rank order to all
 their positions at once; after each, only the pairs that touch a merged position
 are entered anew. A text's ids are those of its words.
 
-Null texts are empty and have no ids. Bytes and ids round-trip exactly.
+Null and empty texts have no ids. Bytes and ids round-trip exactly. Repeated rows are
+encoded each. A text longer than a block is a block of its own. Columns named like the
+results are replaced, others come through. An empty table gives no rows.
 """
 
 from __future__ import annotations

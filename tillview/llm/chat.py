@@ -13,7 +13,8 @@ in role and text are empty strings, rows with a null conversation id are one
 conversation, repeated rows are turns like any other. A conversation whose rendered
 text passes ``PART_CHARS`` is continued in a further part, cut between turns, where
 encoding is the same; so a task holds one part at a time, whatever the
-conversation's length.
+conversation's length. Other columns take no part, whatever their names. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,10 @@ fitted on rows left out of training, and the rejection limit is the confidence
 that only ``REJECT_SHARE`` of those rows fall short of, at most ``REJECT_BELOW``.
 
 Texts that are null or without a letter are ``und`` with score 0. Null languages
-are not learnt from. With no training row everything is ``und``.
+are not learnt from. With no training row everything is ``und``. Repeated rows are told
+each, alike; at a tie the language that sorts first is told. Very long texts are told whole,
+as a block of their own. Columns with the names asked for are replaced, others come through
+whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

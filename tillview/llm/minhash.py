@@ -9,7 +9,10 @@ every empty bin is filled, each from filled bins alike. The lowest ``BITS`` bits
 each bin are packed; likeness is the share of equal bins, corrected for the
 ``2**-BITS`` that agree by chance, within 0 and 1.
 
-Equal texts have equal fingerprints; a text without words has all zeros.
+Equal texts have equal fingerprints; a text without words has all zeros. Texts of any
+length are fingerprinted whole. Repeated rows have a row each: null ids come first, rows of
+one id follow each other by a hash of their text. Other columns take no part, whatever
+their names. An empty table gives no rows; a single row is its own next.
 """
 
 from __future__ import annotations

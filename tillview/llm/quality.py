@@ -6,8 +6,10 @@ word before), each hashed into ``DIM`` slots with its share of the words as
 value; the first slot is the bias. A score is one sparse dot product.
 
 Null and empty texts have the bias alone and so a score. A column that the
-result's name would clash with is replaced. An empty training table gives the
-score 0.5 to all.
+result's name would clash with is replaced, others come through whatever their
+names. Repeated rows are scored each, with the same score; a doc_id with several texts
+is learnt once, by the text of the least hash. Very long texts are scored whole, as a block
+of their own. An empty table gives no rows, an empty training table the score 0.5 to all.
 """
 
 from __future__ import annotations

@@ -12,8 +12,9 @@ fingerprint of the inner ball is linked with all others there, which keeps every
 component whole with one link per member instead of all pairs. A value holds no
 more fingerprints than its ball has members, whatever the data.
 
-Null texts count as empty. Repeated rows and doc_ids are all kept; null doc_ids
-never name a component unless it has no other (then its id is null).
+Null texts count as empty; texts of any length are hashed whole. Repeated rows and doc_ids
+are all kept; null doc_ids never name a component unless it has no other (then its id is
+null). Columns of any name come through ``keep_one``. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -14,7 +14,10 @@ Features are a text's distinct lower-cased words and word beginnings of three to
 seven bytes, hashed into ``DIM`` slots; a text's vector is the set of them, so
 its length does not dilute an insult. Null and empty texts have no feature and
 the severity that the thresholds alone give. A column that a result's name would
-clash with is replaced. With no toxic training text nothing is flagged.
+clash with is replaced, others come through whatever their names. Repeated rows are
+scored each, alike; at a tie the lower grade is shown. Very long texts are scored whole, as a
+block of their own. With no toxic training text nothing is flagged; an empty table
+gives no rows.
 """
 
 from __future__ import annotations

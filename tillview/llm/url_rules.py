@@ -8,8 +8,10 @@ rule the verdict is ``DEFAULT``.
 
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end,
 A-Z in lower case; the path goes on up to ``?``, ``#`` or the end. Null URLs and
-those without ``://`` have both empty and get no rule. Columns named like the
-results are replaced.
+those without ``://`` have both empty and get no rule. URLs of any length are judged whole,
+repeated rows each, alike. Columns named like the four results are replaced, others
+come through whatever their names; both ways show the same columns in the same order.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
