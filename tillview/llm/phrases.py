@@ -43,7 +43,7 @@ ONE_IN = 8
 #: Bits of a filter for each proposed phrase, and at the most; positions set for each.
 BITS_EACH, FILTER_BITS, PROBES = 16, 1 << 27, 4
 #: Words that a task counts together, distinct words it holds, bytes that are cut at once, rows of a batch it sends.
-FLUSH_WORDS, VOCABULARY, WINDOW, SENT_ROWS = 2_000_000, 1_000_000, 1 << 20, 100_000
+FLUSH_WORDS, VOCABULARY, WINDOW, SENT_ROWS = 4_000_000, 1_000_000, 1 << 20, 100_000
 UNKNOWN = "und"
 
 BREAK = b"\xff"  # stands in no UTF-8 text
@@ -66,8 +66,8 @@ def words_of(text: str, window: int = WINDOW) -> Iterator[list[bytes]]:
 # -- hashes and filters ----------------------------------------------------
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang.encode()))
+def lang_seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode())
 
 
 def followed(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -95,7 +95,8 @@ def admitted(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def phrase_hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
     words = [p.encode().split(b" ") for p in phrases]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.fromiter((word_hash(g, w) for g, p in zip(langs, words, strict=True) for w in p), np.uint64, int(sizes.sum()))
+    seeds = {lang: lang_seed(lang) for lang in set(langs)}
+    flat = np.fromiter((xxhash.xxh64_intdigest(w, seeds[g]) for g, p in zip(langs, words, strict=True) for w in p), np.uint64, int(sizes.sum()))
     first = np.cumsum(sizes) - sizes
     out = flat[first]
     for k in range(1, int(sizes.max(initial=0))):
@@ -132,12 +133,13 @@ class _Vocabulary(dict):
 
     def __init__(self, counter: Counter, lang: str) -> None:
         super().__init__({BREAK: 0})
-        self.counter, self.lang = counter, lang
+        self.counter, self.lang, self.seed = counter, lang, lang_seed(lang)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = new = len(self.counter.words)
         self.counter.words.append(word)
         self.counter.langs.append(self.lang)
+        self.counter.hashes.append(xxhash.xxh64_intdigest(word, self.seed))
         return new
 
 
@@ -154,6 +156,7 @@ class Counter:
     def forget(self) -> None:
         self.words: list[bytes] = [BREAK]
         self.langs: list[str] = [""]
+        self.hashes: list[int] = [0]
         self.by_lang: dict[str, _Vocabulary] = {}
 
     def add(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
@@ -185,40 +188,55 @@ class Counter:
         if size == 1:
             return
         texts, langs = pa.array(self.words[1:], pa.binary()).cast(pa.string()), pa.array(self.langs[1:], pa.string())
-        hashes = np.array([0, *map(word_hash, self.langs[1:], self.words[1:])], np.uint64)
-        counts = np.bincount(w[carried:], minlength=size)[1:]
         if len(self.filters) < 2:
+            counts = np.bincount(w[carried:], minlength=size)[1:]
             seen = np.flatnonzero(counts)
             yield from _batches(langs, [texts], [seen], counts[seen])
             for lang, own in self.by_lang.items():
                 ids = np.fromiter(own.values(), np.int64, len(own))
                 words = int(counts[ids[ids > 0] - 1].sum())
                 yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([words], pa.int64())], COUNTED)
-        gram, grams, parts = w - 1, size - 1, hashes[1:]  # a phrase's number at each place, -1 for none
-        # which phrases of the size before are proposed, by each filter
-        proposed = [admitted(f, parts) for f in self.filters]
+        # which phrase that begins at each place each filter proposes; first words
+        hashes = np.array(self.hashes, np.uint64)
+        known = [admitted(f, hashes) for f in self.filters] or [np.ones(size, bool)]
+        for one in known:
+            one[0] = False
+        proposed = [one[w] for one in known]
+        word = hashes[w]
+        phrase = word
         for length in range(2, self.longest + 1):
-            here, there = gram[:-1], gram[1:]
-            valid = (here >= 0) & (there >= 0)
-            if proposed:
-                valid &= proposed[-1][here] & proposed[-1][there]
-            at = np.flatnonzero(valid)
-            if not len(at):
-                return
-            last = w[at + length - 1] - 1
-            keys, first, inverse, n = np.unique(here[at] * (size - 1) + last, return_index=True, return_inverse=True, return_counts=True)
-            starts, heads, tails = at[first], here[at][first], there[at][first]
-            parts = followed(parts[heads], hashes[w[starts + length - 1]])
-            counted = [p[heads] & p[tails] for p in proposed]  # by the pass of each filter
-            new = ~np.logical_or.reduce(counted[:-1]) if len(counted) > 1 else np.ones(len(keys), bool)
-            if carried >= length:  # ended among the carried words, which an earlier flush has counted
-                n = n - np.bincount(inverse[at + length <= carried], minlength=len(keys))
-            new &= n > 0
-            rows = np.flatnonzero(new)
-            yield from _batches(langs, [texts] * length, [w[starts[rows] + k] - 1 for k in range(length)], n[rows])
-            proposed = [c & admitted(f, parts) for c, f in zip(counted, self.filters, strict=True)]
-            gram = np.full(len(here), -1, np.int64)
-            gram[at] = inverse
+            counted = [p[:-1] & p[1:] for p in proposed]  # by the pass of each filter
+            new = counted[-1].copy()
+            for before in counted[:-1]:
+                new &= ~before
+            new[: max(0, carried - length + 1)] = False  # an earlier flush has counted these
+            yield from self._counted(w, np.flatnonzero(new), length, langs, texts)
+            if length < self.longest:
+                phrase, proposed = followed(phrase[:-1], word[length - 1 :]), counted
+                if self.filters:
+                    proposed = [_among(c & counted[-1], f, phrase) for c, f in zip(counted, self.filters, strict=True)]
+
+    def _counted(self, w: np.ndarray, at: np.ndarray, length: int, langs: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+        """The phrases that begin at ``at``, each with its count."""
+        bits = len(self.words).bit_length()
+        if bits * length < 63:
+            keys = w[at]
+            for k in range(1, length):
+                keys = (keys << bits) | w[at + k]
+            keys, n = np.unique(keys, return_counts=True)
+            ids = [(keys >> (bits * (length - 1 - k))) & ((1 << bits) - 1) for k in range(length)]
+        else:
+            rows, n = np.unique(np.stack([w[at + k] for k in range(length)]), axis=1, return_counts=True)
+            ids = list(rows)
+        yield from _batches(langs, [texts] * length, [i - 1 for i in ids], n)
+
+
+def _among(places: np.ndarray, bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The places whose hashes a filter may hold."""
+    at = np.flatnonzero(places)
+    out = np.zeros(len(places), bool)
+    out[at] = admitted(bits, hashes[at])
+    return out
 
 
 COUNTED = ["lang", "size", "phrase", "n"]
