@@ -868,5 +868,10 @@ SELECTS["clv_lr_optimal"] = f"""SELECT count(*) AS rows, true AS all_rows, true
 SELECTS["gbt_node_scores"] = f"SELECT count(*) AS customers, 0 AS differing FROM v_features WHERE NOT {_TRAIN}"
 SELECTS["saved_model"] = f"""SELECT count(*) AS customers, 0 AS differing FROM (
   {SELECTS['clv_training_set']}) WHERE NOT {_TRAIN}"""
+SELECTS["unique_customers"] = " UNION ALL ".join(
+    f"""SELECT '{level}' AS level, date_trunc('{level}', transaction_date)::DATE AS date, count(DISTINCT customer_id) AS unique_customers
+  FROM v_lines WHERE customer_id IS NOT NULL AND transaction_date IS NOT NULL GROUP BY 2"""
+    for level in ("day", "month", "year")
+)
 
 ORACLE.update({name: statement(select) for name, select in SELECTS.items()})

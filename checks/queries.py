@@ -521,6 +521,15 @@ def sales_union(spark, folder):
     return sales.sales_union(lines(spark, folder))
 
 
+@query
+def unique_customers(spark, folder):
+    """Customers by day, month and year, all from one table of bitmaps."""
+    bitmaps = stage(sales.customer_bitmaps(lines(spark, folder)), "bitmaps")
+    levels = {"day": F.col("date"), "month": F.trunc("date", "month"), "year": F.trunc("date", "year")}
+    parts = [sales.unique_customers(bitmaps, day).withColumn("level", F.lit(name)) for name, day in levels.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def recent_sales(spark, folder):
     return quality.recent_sales(gold(spark, folder, "sales_aggregated"))
