@@ -69,13 +69,13 @@ def test_words_are_forgotten_in_two_generations(monkeypatch):
     ids = Ids(CONTENT)
     for k in range(60):
         text = f"word{k}, the other word{k % 7} and more!"
-        assert np.frombuffer(ids(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids([text])[0], "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from("aeé İΣς'.,!|<>-_#1٣½\n\t\xa0́🎉 st"), st.characters(codec="utf-8")), max_size=60))
 def test_word_ids_are_the_tokenizers(text):
-    assert np.frombuffer(IDS(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(IDS([text])[0], "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=100, deadline=None)

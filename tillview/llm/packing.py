@@ -34,6 +34,8 @@ OPEN_BINS = 256
 TASK_PIECES = 100_000
 #: Distinct words whose ids a worker remembers, in each of two generations.
 WORDS = 300_000
+#: Characters of texts whose new words are learnt together.
+TOGETHER = 1_000_000
 #: Words that are encoded together, and how the tokens that close a word end.
 BATCH, WORD_END = 10_000, "</w>"
 
@@ -53,6 +55,7 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer.decode())
+        self.tokenizer.model._resize_cache(0)  # words come once
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
@@ -80,25 +83,40 @@ class Ids:
             for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
 
-    def __call__(self, text: str) -> bytes:
-        if "<|" not in text:  # else it may hold a special token, which is matched as it stands
-            text = text.encode().lower().decode()  # A-Z only
-        words = text.replace("\n", " ").split(" ")
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + 2 * len(new) > WORDS:
-                self.before, self.known = self.known, {"": b""}
-                new = set(words) - {""}
-            old = {w: self.before[w] for w in new if w in self.before}
-            self.known.update(old)
-            new.difference_update(old)
-            ended = [(w, stem) for w in new if len(stem := w.rstrip(punctuation)) < len(w) and stem[-1:].lower()[-1:].isalnum() and "<|" not in w]
-            new.difference_update([w for w, _ in ended])
-            new.update({x for w, stem in ended for x in (stem, w[len(stem) :])}.difference(self.known))
-            self._learn(new)
-            for word, stem in ended:
-                self.known[word] = self.known[stem] + self.known[word[len(stem) :]]
-        return b"".join(map(self.known.__getitem__, words))
+    def _learn_all(self, words: set[str]) -> None:
+        new = words.difference(self.known)
+        if len(self.known) + 2 * len(new) > WORDS:
+            self.before, self.known = self.known, {"": b""}
+            new = words - {""}
+        old = {w: self.before[w] for w in new if w in self.before}
+        self.known.update(old)
+        new.difference_update(old)
+        ended = [(w, stem) for w in new if len(stem := w.rstrip(punctuation)) < len(w) and stem[-1:].lower()[-1:].isalnum() and "<|" not in w]
+        new.difference_update([w for w, _ in ended])
+        new.update({x for w, stem in ended for x in (stem, w[len(stem) :])}.difference(self.known))
+        self._learn(new)
+        for word, stem in ended:
+            self.known[word] = self.known[stem] + self.known[word[len(stem) :]]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        # A-Z are lowered, unless there may be a special token, which is matched as it stands
+        lowered = [t if "<|" in t else t.encode().lower().decode() for t in texts]
+        words = [t.replace("\n", " ").split(" ") for t in lowered]
+        self._learn_all(set().union(*words))
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+
+
+def together(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """The texts in order, some at a time: about ``chars`` characters, or one longer text."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text) > chars:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
 
 
 class Bins:
@@ -147,8 +165,10 @@ def pieces(docs: DataFrame, tokenizer: bytes, capacity: int = CAPACITY, end_id:
         ids = once(shared.value, Ids)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                whole = ids(text.as_py() or "") + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            encoded = (found for part in together(texts, TOGETHER) for found in ids(part))
+            for doc_id, found in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                whole = found + end
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
