@@ -39,16 +39,24 @@ def test_query_reaches_the_recall(spark, small):
             assert score == pytest.approx(want[key][1], abs=1e-9)
 
 
-@pytest.mark.parametrize("kind", ["noise", "clusters"])
-def test_recall_with_many_blocks(spark, kind):
+@pytest.mark.parametrize("kind", ["noise", "clusters", "surface"])
+def test_recall_with_many_blocks(spark, monkeypatch, kind):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((12_000, 24))
     if kind == "clusters":
         x = 4 * rng.standard_normal((30, 24))[rng.integers(0, 30, len(x))] + x
+    if kind == "surface":
+        x = rng.standard_normal((len(x), 3)) @ rng.standard_normal((3, 24)) + 0.001 * x
+    plans, plan = [], hilbert.plan
+    monkeypatch.setattr(hilbert, "plan", lambda *a: plans.append(plan(*a)) or plans[-1])
     rows = [(k, v) for k, v in enumerate(x.astype(np.float32).tolist())]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(8)
     got = found(hilbert.nearest(vectors, F.col("vec_id") % 50 == 0))
     assert recall(got, brute(rows, lambda i: i % 50 == 0)) >= 0.9
+    ((curves, blocks),) = plans
+    assert curves * min(3, blocks) <= blocks  # never more than all against all
+    if kind == "surface":
+        assert blocks >= 10
 
 
 def test_copies_and_rows_that_take_no_part(spark):
@@ -72,6 +80,22 @@ def test_slices_of_a_block_change_nothing(spark, monkeypatch):
     assert {k: v[0] for k, v in sliced.items()} == {k: v[0] for k, v in whole.items()}
 
 
+def test_the_plan_compares_least():
+    """Neighbours near on all curves, near on some curve only, near on none."""
+    draw = np.random.default_rng(4)
+    near = draw.integers(0, 50, (8, 900))
+    assert hilbert.plan(near, 100_000) == (1, 100_000 // hilbert.LEAST_BLOCK)
+    far = draw.integers(0, 100_000, (8, 900))
+    assert hilbert.plan(far, 100_000) == (1, 1)
+    some = np.where(draw.random((8, 900)) < 0.6, near, far)
+    curves, blocks = hilbert.plan(some, 100_000)
+    assert 1 < curves < 8 and blocks == 100_000 // hilbert.LEAST_BLOCK
+    assert (some[:curves].min(axis=0) <= hilbert.LEAST_BLOCK).mean() >= hilbert.RECALL
+    for spans in (near, far, some):
+        curves, blocks = hilbert.plan(spans, 100_000)
+        assert curves * min(3, blocks) / blocks <= 1
+
+
 def test_few_and_no_rows(spark):
     vectors = spark.createDataFrame([(0, [1.0, 0.0]), (50, [0.0, 2.0]), (7, [-1e200, 1e200])], "vec_id long, embedding array<double>")
     got = found(hilbert.nearest(vectors, F.col("vec_id") % 50 == 0))

@@ -10,15 +10,19 @@ double precision, and the lists of all blocks are merged. A block of more than
 holds is bounded however large blocks have to be.
 
 Projections come from a sample of at most ``SAMPLE`` points and cuts from the keys of at
-most ``CUT_SAMPLE``; every point is indexed. The block size is measured, not set: for ``PROBES`` query points the exact
-neighbours are found by brute force and their distance in ranks is counted on every
-curve; blocks are as large as ``RECALL`` of the neighbours need. So recall holds at
-any size and for any data, and the work follows what the data need.
+most ``CUT_SAMPLE``; every point is indexed. How many curves there are, and how large blocks
+are, is measured, not set: for ``PROBES`` query points the exact neighbours are found by brute
+force and their distance in ranks is counted on every curve. For each number of curves
+blocks must be as large as ``RECALL`` of the neighbours need; the number that has a query
+compared least often is taken. So recall holds at any size and for any data, and the work
+is never more than every query against every point once: where the data have no structure
+that curves could follow, that is one curve of one block.
 
 Equal vectors are one point with its ``k + 1`` smallest ids, which is all that any
 answer can show. Vectors that are null, zero, hold null or non-finite components, or
 are not of the most frequent length (the shorter at a tie) take no part; repeated
-rows of an id and vector count once. Null ids take no part.
+rows of an id and vector count once. Null ids take no part, nor do other columns,
+whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -101,6 +105,10 @@ class Curves:
             out.append((hilbert_keys(cells, AXIS_BITS) << HASH_BITS) | mixed.astype(np.int64))
         return np.array(out)
 
+    def first(self, curves: int) -> None:
+        """Keep only so many curves."""
+        self.axes, self.low, self.span, self.shift = (x[:curves] for x in (self.axes, self.low, self.span, self.shift))
+
     def cut(self, keys: np.ndarray, blocks: int) -> None:
         at = np.arange(1, blocks) * keys.shape[1] // blocks
         self.starts = [np.unique(np.sort(k)[at]) for k in keys]
@@ -170,7 +178,7 @@ def _exact(points: DataFrame, ids: np.ndarray, probes: np.ndarray, k: int) -> di
 
 
 def _reach(points: DataFrame, curves: Curves, ids: np.ndarray, probes: np.ndarray, exact: dict[int, list[int]]) -> np.ndarray:
-    """For each probe and exact neighbour, the least distance in ranks on any curve."""
+    """For each probe and exact neighbour, the distance in ranks on every curve."""
     pairs = [(p, n) for p, found in sorted(exact.items()) for n in found]
     wanted = sorted({n for _, n in pairs})
     rows = points.where(F.col("rep").isin(wanted)).select("rep", "embedding").toArrow()  # PROBES * k rows
@@ -191,8 +199,19 @@ def _reach(points: DataFrame, curves: Curves, ids: np.ndarray, probes: np.ndarra
     for row in gaps.collect():  # at most a row for each end on each curve
         below[row["curve"]][row["gap"]] = row["count"]
     rank = [np.cumsum(b) for b in below]
-    span = [np.abs(rank[c][np.searchsorted(g, ends[:, 0, c])] - rank[c][np.searchsorted(g, ends[:, 1, c])]) for c, g in enumerate(grid)]
-    return np.min(span, axis=0)
+    spans = [np.abs(rank[c][np.searchsorted(g, ends[:, 0, c])] - rank[c][np.searchsorted(g, ends[:, 1, c])]) for c, g in enumerate(grid)]
+    return np.array(spans)
+
+
+def plan(spans: np.ndarray, total: int, recall: float = RECALL) -> tuple[int, int]:
+    """(curves, blocks) that compare a query least often, from the distances in ranks of its
+    neighbours on each curve; a query meets three blocks on each, or all if there are fewer."""
+    best = (float(total), 1, 1)
+    for curves in range(1, len(spans) + 1):
+        size = max(LEAST_BLOCK, int(np.quantile(spans[:curves].min(axis=0), recall)))
+        blocks = max(1, total // size)
+        best = min(best, (curves * min(3, blocks) / blocks * total, curves, blocks))
+    return best[1:]
 
 
 def _sampled_keys(points: DataFrame, total: int, curves: Curves) -> np.ndarray:
@@ -224,10 +243,11 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 5, recall: float = RECAL
     lines = Curves(taken, curves)
     probes = np.random.default_rng(5).permutation(len(ids))[:PROBES]
     exact = _exact(points, ids[probes], taken[probes], k)
-    reach = _reach(points, lines, ids[probes], taken[probes], exact) if exact else np.zeros(1)
-    size = max(LEAST_BLOCK, int(np.quantile(reach, recall)))
+    spans = _reach(points, lines, ids[probes], taken[probes], exact) if exact else np.zeros((1, 1))
+    chosen, count = plan(spans, total, recall)
+    lines.first(chosen)
     keys = _sampled_keys(points, total, lines)
-    lines.cut(keys, max(1, min(total // size, keys.shape[1] // SAMPLED_PER_BLOCK)))
+    lines.cut(keys, max(1, min(count, keys.shape[1] // SAMPLED_PER_BLOCK)))
 
     @arrow_udf("array<int>")  # it carries the projections and at most CUT_SAMPLE / SAMPLED_PER_BLOCK cuts a curve
     def blocks(ids: pa.Array, vectors: pa.Array) -> pa.Array:
