@@ -43,7 +43,7 @@ ONE_IN = 8
 #: Bits of a filter for each proposed phrase, and at the most; positions set for each.
 BITS_EACH, FILTER_BITS, PROBES = 16, 1 << 27, 4
 #: Words that a task counts together, distinct words it holds, bytes that are cut at once, rows of a batch it sends.
-FLUSH_WORDS, VOCABULARY, WINDOW, SENT_ROWS = 4_000_000, 1_000_000, 1 << 20, 100_000
+FLUSH_WORDS, VOCABULARY, WINDOW, SENT_ROWS = 3_000_000, 700_000, 1 << 20, 100_000
 UNKNOWN = "und"
 
 BREAK = b"\xff"  # stands in no UTF-8 text
@@ -162,10 +162,10 @@ class Counter:
     def add(self, lang: str, text: str) -> Iterator[pa.RecordBatch]:
         ids = self.by_lang.setdefault(lang, _Vocabulary(self, lang)).__getitem__
         for part in words_of(text):
-            self._take(np.fromiter(map(ids, part), np.int64, len(part)))
+            self._take(np.fromiter(map(ids, part), np.int32, len(part)))
             if self.held >= self.flush_words:
                 yield from self.flush(within=True)
-        self._take(np.zeros(1, np.int64))
+        self._take(np.zeros(1, np.int32))
         if self.held >= self.flush_words or len(self.words) >= VOCABULARY:
             yield from self.flush()
 
@@ -175,10 +175,10 @@ class Counter:
 
     def flush(self, within: bool = False) -> Iterator[pa.RecordBatch]:
         """Count what is held; ``within`` a text the last words also begin the next phrases."""
-        held = np.concatenate(self.buffer) if self.buffer else np.zeros(0, np.int64)
-        yield from self.count(held, self.carried)
-        tail = held[len(held) - min(len(held), self.longest - 1) :] if within else held[:0]
+        held, carried = np.concatenate(self.buffer or [np.zeros(0, np.int32)]), self.carried
+        tail = (held[len(held) - min(len(held), self.longest - 1) :] if within else held[:0]).copy()
         self.buffer, self.held, self.carried = [tail], len(tail), len(tail)
+        yield from self.count(held, carried)
         if not within and len(self.words) >= VOCABULARY:
             self.forget()
 
@@ -220,9 +220,10 @@ class Counter:
         """The phrases that begin at ``at``, each with its count."""
         bits = len(self.words).bit_length()
         if bits * length < 63:
-            keys = w[at]
+            keys = w[at].astype(np.int64)
             for k in range(1, length):
-                keys = (keys << bits) | w[at + k]
+                keys <<= bits
+                keys |= w[at + k]
             keys, n = np.unique(keys, return_counts=True)
             ids = [(keys >> (bits * (length - 1 - k))) & ((1 << bits) - 1) for k in range(length)]
         else:
