@@ -345,7 +345,7 @@ def test_ranks_by_poor_sketches(spark, monkeypatch, n, margin):
     draw = random.Random(n)
     values = [draw.choice([None, draw.randint(-3, 3), draw.randint(-(10**9), 10**9)]) for _ in range(n)]
     places = [1, n // 2, n, 0]
-    got = one(values_at(spark.createDataFrame([(v,) for v in values], "v long"), ["v"], [lambda _, p=p: F.lit(p) for p in places])).v
+    got = one(values_at(spark.createDataFrame([(v,) for v in values], "v long"), ["v"], [lambda _, p=p: F.lit(p) for p in places]))["v"]
     known = sorted(v for v in values if v is not None)
     assert got == [known[p - 1] for p in places if 1 <= p <= len(known)]
 
