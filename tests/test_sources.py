@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from tillview.operators import conform
 from tillview.operators.catalog import feature_catalog
 from tillview.plans.medallion import (
     Medallion,
@@ -18,6 +19,7 @@ from tillview.plans.medallion import (
 )
 from tillview.sources.commits import TableFolder, VersionMissing
 from tillview.sources.csv import REJECTED, rejected_rows, scan_csv, scan_csv_inferred
+from tillview.sources.orderbook import OrderBook
 from tillview.sources.schemas import SOURCES
 from tillview.sources.staging import stage, staging_root
 from tillview.sources.tables import NotOurTable, TableMissing, TableStore, layer_summary
@@ -100,6 +102,38 @@ def test_partitioned_write(spark, tmp_path):
     assert all(len(list(p.glob("*.parquet"))) == 1 for p in folder.glob("m=*"))
 
 
+def test_partitioned_write_without_a_shuffle(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake"))
+    df = spark.range(1000, numPartitions=3).select("id", (F.col("id") % 4).cast("int").alias("m"))
+    back = store.write(df, "x_gold", partition_by="m", rebalance=False)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    (folder,) = (tmp_path / "lake" / "gold" / "x_gold").glob("data-*")
+    assert {len(list(p.glob("*.parquet"))) for p in folder.glob("m=*")} == {3}
+
+
+def test_lines_are_shuffled_once_before_the_dimensions(spark, tmp_path):
+    """Lines and orders meet, and copies of a line are told, in one shuffle of each; only a
+    whole run writes the flagged lines down."""
+    at, day = datetime(1996, 1, 1), datetime(1996, 2, 1)
+    orders = [(k, 5, "F", at, "1-URGENT") for k in (1, 2)]
+    lines = [(1, 7, 3, 1, 2.0, 10.0, 0.1, 0.0, "N", day), (1, 7, 3, 2, 2.0, 10.0, 0.1, 0.0, "R", at), (9, 7, 3, 1, 2.0, 10.0, 0.1, 0.0, "N", day), (None, 7, 3, 1, 2.0, 10.0, 0.1, 0.0, "N", day)]
+    book = OrderBook(spark, str(tmp_path))
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        flagged = conform.flag_transactions(book.transactions())
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        found = {(r.transaction_id, r.product_id, r.customer_id, r.order_status) for r in flagged.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert found == {("1", "7", "5", "Completed"), ("9", "7", None, "Completed"), (None, "7", None, "Completed")}
+    run = Medallion(TableStore(spark, f"{tmp_path}/lake"), AS_OF, {"transactions": book.transactions()}.__getitem__)
+    assert run.table("transactions_quarantine_silver").count() == 2 and "_flagged" not in run._built
+
+
 def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake"))
     store.write(spark.range(100), "x_gold")

@@ -88,11 +88,16 @@ class Medallion:
         with self._lock:
             if name not in self._built:
                 df = self._builders()[name]()
-                self._built[name] = self.store.write(df, name, self.load_ts, PARTITIONS.get(name))
+                self._built[name] = self.store.write(df, name, self.load_ts, PARTITIONS.get(name), rebalance=False)
             return self._built[name]
 
     def run(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in self._builders()}
+        """All tables. Valid and rejected lines both come from the flagged ones, so these are
+        written down first; a single table does without."""
+        with self._lock:
+            if "_flagged" not in self._built and "transactions_silver" not in self._built:
+                self._built["_flagged"] = stage(self._flagged(), "flagged-transactions")
+            return {name: self.table(name) for name in self._builders()}
 
     def _builders(self) -> dict[str, Callable[[], DataFrame]]:
         return {
@@ -156,11 +161,8 @@ class Medallion:
         return df if self.load_ts is None else df.withColumn(column, F.lit(self.load_ts))
 
     def _flagged(self) -> DataFrame:
-        """Deduplicated, flagged lines: read for the valid and for the rejected ones."""
-        if "_flagged" not in self._built:
-            flagged = conform.flag_transactions(self.bronze("transactions"))
-            self._built["_flagged"] = stage(flagged, "flagged-transactions")
-        return self._built["_flagged"]
+        """Deduplicated, flagged lines: of a whole run the table written, else their plan."""
+        return self._built["_flagged"] if "_flagged" in self._built else conform.flag_transactions(self.bronze("transactions"))
 
     def _facts(self) -> list[DataFrame]:
         names = ("customers", "transactions", "loyalty_events", "crm_interactions")

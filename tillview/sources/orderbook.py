@@ -126,11 +126,14 @@ class OrderBook:
         tenth = F.col("l_partkey") % 10
         days = F.when(tenth == 0, F.lit(400)).when(tenth == 1, F.lit(150)).otherwise(F.lit(0))
         early = F.make_dt_interval(days)
+        # joined on the text that the lines are deduplicated by: one shuffle serves both
+        ordered = self.table("orders").withColumn("order_id", _text("o_orderkey"))
         return (
             self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            .withColumn("transaction_id", _text("l_orderkey"))
+            .join(ordered, F.col("transaction_id") == F.col("order_id"), "left")
             .select(
-                _text("l_orderkey").alias("transaction_id"),
+                "transaction_id",
                 F.when(F.col("l_orderkey") % 97 != 0, _text("o_custkey")).alias("customer_id"),
                 F.when((F.col("l_orderkey") % 101 != 0) | (F.col("l_linenumber") != 2), _text("l_partkey")).alias("product_id"),
                 (F.col("o_orderdate") + hours - early).alias("transaction_date"),

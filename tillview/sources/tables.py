@@ -63,6 +63,7 @@ class TableStore:
         name: str,
         load_ts: datetime | None = None,
         partition_by: str | Sequence[str] | None = None,
+        rebalance: bool = True,
     ) -> DataFrame:
         """Replace the table, all at once, and return its new version as read back
         from storage. ``df`` may read the table itself.
@@ -73,13 +74,15 @@ class TableStore:
         rebalanced by its partition columns first: adaptive execution then
         merges the small pieces and splits the large ones, so one month that
         holds a third of the rows is written by many tasks and a small month by
-        one, without a file per task and month.
+        one, without a file per task and month. That shuffles the whole rows; with
+        ``rebalance=False`` they are written where they are, each task a file per
+        month it has rows of, so there are at most as many files as tasks times months.
         """
         layer = self.path(name).split("/")[-2]
         if load_ts is not None and layer in ("silver", "gold"):
             df = df.withColumn(f"{layer}_load_timestamp", F.lit(load_ts))
         keys = [partition_by] if isinstance(partition_by, str) else list(partition_by or ())
-        if keys:
+        if keys and rebalance:
             df = df.hint("rebalance", *keys)
         folder = self.folder(name)
         data = folder.new_folder()
