@@ -3,6 +3,7 @@ import hashlib
 import pytest
 import regex
 import tiktoken
+from conftest import OWN, own_columns
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from public_tokenizers import PATTERN
@@ -38,7 +39,7 @@ def test_texts_are_encoded_as_the_public_encoder_does(texts):
 def test_edges(spark, edges, empty):
     coder = Coder(spark, CONTENT, PATTERN)
     coded = coder.encode(edges, decoded="piece")  # takes the place of a column of that name
-    assert coded.columns == ["doc_id", "lang", "source", "score", "predicted", "ids", "piece"]
+    assert coded.columns == ["doc_id", "lang", "source", "score", "predicted", *OWN, "ids", "piece"] and own_columns(coded)
     back = coded.select("doc_id", "ids", "piece", coder.decode(F.col("ids")).alias("again")).collect()
     texts = sorted((r.text or "").encode() for r in edges.collect())
     assert sorted(bytes(r.piece) for r in back) == texts and sorted(bytes(r.again) for r in back) == texts
