@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillview.functions.policies import LOOKBACK_DAYS
+from tillview.operators.enrich import hot_keys
+from tillview.sources.staging import stage
 
 # What is counted distinctly per customer.
 DISTINCT = {
@@ -64,12 +66,13 @@ def customer_profile(lines: DataFrame, as_of: date, wanted: Sequence[str]) -> Da
     """One row per customer with the wanted measures, named as declared above.
 
     With two or more distinct counts Spark copies every row once per distinct
-    column, and each copy would carry the buffers of all plain measures through
-    the shuffle. So the distinct counts are aggregated apart, on rows that hold
-    nothing but the counted columns, and joined back on the customer, by which
-    both sides are already partitioned. Either part pre-aggregates before its
-    shuffle, and the distinct part shuffles by (customer, value), so a customer
-    with a third of all lines is spread over many tasks.
+    column and shuffles the copies and the buffers of all plain measures, though
+    one task's lines seldom hold a customer twice. So the lines themselves are
+    shuffled once, and a customer's measures and sets of distinct values are
+    made where its lines meet. Customers that may hold more than a thousandth of
+    the lines (:func:`hot_keys`, a list of bounded length) are aggregated apart, see
+    :func:`_spread_profile`. That list is staged (a job), so that both parts read the
+    same one.
 
     Lines without a customer belong to no profile and are left out.
     """
@@ -83,12 +86,24 @@ def customer_profile(lines: DataFrame, as_of: date, wanted: Sequence[str]) -> Da
     if len(counted) < 2 or not simple:
         out = known.groupBy("customer_id").agg(*simple, *counted)
     else:
-        totals = known.groupBy("customer_id").agg(*simple)
-        counts = known.groupBy("customer_id").agg(*counted)
-        out = totals.join(counts, "customer_id")
+        hot = F.broadcast(stage(hot_keys(known, "customer_id"), "hot-customers"))
+        sets = [F.expr(f"CAST(size(collect_set({DISTINCT[w]})) AS BIGINT) AS {w}") for w in wanted if w in DISTINCT]
+        met = known.join(hot, "customer_id", "left_anti").repartition("customer_id").groupBy("customer_id").agg(*simple, *sets)
+        spread = _spread_profile(known.join(hot, "customer_id", "left_semi"), simple, counted)
+        out = met.unionByName(spread.select(*met.columns))
     return out.select("customer_id", *wanted)
 
 
+def _spread_profile(known: DataFrame, simple: Sequence[Column], counted: Sequence[Column]) -> DataFrame:
+    """The profile of customers with very many lines. Distinct counts are aggregated
+    apart from the plain measures, on rows that hold nothing but the counted columns,
+    and joined back on the customer. Either part pre-aggregates before its shuffle, and
+    the distinct part shuffles by (customer, value), so a customer with a third of all
+    lines is spread over many tasks."""
+    totals = known.groupBy("customer_id").agg(*simple)
+    return totals.join(known.groupBy("customer_id").agg(*counted), "customer_id")
+
+
 def renamed(profile: DataFrame, names: dict[str, str]) -> DataFrame:
     """The profile under output names: {output column: profile measure}."""
     return profile.selectExpr(
