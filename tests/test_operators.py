@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from tillview.operators import conform, customer_view, features, lifetime, ranks, rfm, sales, segments
+from tillview.operators import conform, customer_view, features, lifetime, profile, ranks, rfm, sales, segments
 from tillview.operators.dedup import dedup_latest, latest_value_per_key
 from tillview.operators.enrich import hot_keys, left_join_salted
 from tillview.operators.profile import customer_profile
@@ -74,6 +74,19 @@ def test_dedup_limits_copies_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+@pytest.mark.parametrize(("source", "made"), [("crm_interactions", "is_unresolved"), ("loyalty_events", "points_transaction_type"), ("web_analytics", "is_abandoned_cart"), ("support_tickets", "sla_breached")])
+def test_only_ingested_columns_are_shuffled_to_tell_copies(spark, source, made):
+    """And ties of loading time go to the copy that is first by the silver columns, NULL first."""
+    by = {"crm_interactions": conform.conform_crm, "loyalty_events": conform.conform_loyalty, "web_analytics": conform.conform_web, "support_tickets": conform.conform_tickets}
+    schema = SOURCES[source].schema.add("ingestion_timestamp", "timestamp")
+    text = {f.name for f in schema if f.dataType.simpleString() == "string"}
+    rows = [tuple("k" if f.name in SOURCES[source].key else (v if f.name in text else LOADED if f.name == "ingestion_timestamp" else None) for f in schema) for v in ("b", None, "a")]
+    out = by[source](spark.createDataFrame(rows, schema))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert made in plan[: plan.index("Exchange")] and made not in plan[plan.index("Exchange") :]
+    assert one(out)["customer_id"] is None
+
+
 # -- enrichment -------------------------------------------------------------
 def test_salted_join_equals_plain_join_with_a_hot_key_and_nulls(spark):
     facts = spark.range(6000).select(
@@ -228,6 +241,29 @@ def test_one_customer_holding_most_lines(spark):
     assert out.agg(F.sum("line_count")).first()[0] == 30000
 
 
+def test_only_customers_with_very_many_lines_are_aggregated_apart(spark, monkeypatch):
+    """The others, a few lines each, are shuffled as lines; both against the plain aggregate."""
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 11 != 0, (F.col("id") % 9973).cast("string")).alias("transaction_id"),
+        F.when(F.col("id") % 4 == 0, "hot").when(F.col("id") % 97 != 0, (F.col("id") % 3001).cast("string")).alias("customer_id"),
+        F.when(F.col("id") % 7 != 0, (F.col("id") % 77).cast("string")).alias("product_id"),
+        F.when(F.col("id") % 3001 != 5, (F.col("id") % 5).cast("string")).alias("product_category"),
+        F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 90).cast("int")).cast("timestamp").alias("transaction_date"),
+        (F.col("id") % 3 + 1).cast("int").alias("transaction_month"),
+        (F.col("id") % 100).cast("decimal(18,4)").alias("revenue"),
+    )
+    seen, whole = [], profile._spread_profile
+    monkeypatch.setattr(profile, "_spread_profile", lambda known, *rest: seen.append(known) or whole(known, *rest))
+    wanted = ["line_count", "order_count", "product_count", "category_count", "day_count", "revenue_sum", "months_seen"]
+    got = customer_profile(df, AS_OF, wanted)
+    assert [r[0] for r in seen[0].select("customer_id").distinct().collect()] == ["hot"]
+    plain = df.filter("customer_id is not null").groupBy("customer_id").agg(
+        F.count("transaction_id"), F.count_distinct("transaction_id"), F.count_distinct("product_id"), F.count_distinct("product_category"),
+        F.count_distinct(F.to_date("transaction_date")), F.sum("revenue"), F.count_distinct("transaction_month"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    assert [t for _, t in got.dtypes[1:6]] == ["bigint"] * 5
+
+
 # -- RFM, CLV ---------------------------------------------------------------
 def test_rfm_of_one_customer_and_of_equal_frequencies(spark):
     row = one(rfm.rfm(lines(spark, [("t", "c", "p", "2024-06-01", 1, 5)]), AS_OF))

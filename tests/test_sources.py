@@ -134,6 +134,33 @@ def test_lines_are_shuffled_once_before_the_dimensions(spark, tmp_path):
     assert run.table("transactions_quarantine_silver").count() == 2 and "_flagged" not in run._built
 
 
+def test_lines_are_shortened_before_their_shuffle(spark, tmp_path):
+    """The order's key travels once, as the text that is joined on; amounts as decimals."""
+    day = datetime(1996, 2, 1)
+    book = OrderBook(spark, str(tmp_path))
+    spark.createDataFrame([(89, 5, "F", day, "1-URGENT"), (97, 5, "O", day, "2-HIGH")], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(89, 10, 3, 1, 2.0, 1000.0, 0.1, 0.05, "R", day), (97, 11, 3, 2, 1.0, 250.0, 0.0, 0.0, "A", day), (101, 12, 3, 2, 1.0, 250.0, 0.0, 0.0, "N", None), (None, 12, None, None, None, None, None, None, None, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = book.transactions()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert "l_orderkey" not in above and "l_extendedprice" not in above and "l_partkey" not in above
+    got = {r.transaction_id: (r.customer_id, r.product_id, str(r.transaction_date), r.quantity, r.unit_price, r.total_amount, r.shipping_cost, r.order_status, r.store_id) for r in out.collect()}
+    D = Decimal
+    assert got == {
+        "89": ("5", "10", "1994-12-28 17:00:00", 1, D("10.0000"), D("-9.0000"), D("0.0500"), "Returned", "3"),
+        "97": (None, "11", "1995-09-04 01:00:00", 0, D("2.5000"), D("2.5000"), D("0.0000"), "Cancelled", "3"),
+        "101": (None, None, "None", 0, D("2.5000"), D("2.5000"), D("0.0000"), "Completed", "3"),
+        None: (None, "12", "None", None, None, None, None, "Completed", None),
+    }
+
+
+def test_tables_are_written_with_zstd(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "lake"))
+    assert store.write(spark.range(10), "x_gold").count() == 10
+    assert {p.name.split(".", 1)[1] for p in (tmp_path / "lake").rglob("part-*")} == {"zstd.parquet"}
+
+
 def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "lake"))
     store.write(spark.range(100), "x_gold")

@@ -47,6 +47,15 @@ def _latest(df: DataFrame, source: str) -> DataFrame:
     return dedup_latest(df, SOURCES[source].key, LOADED)
 
 
+def _latest_shaped(bronze: DataFrame, source: str, columns: Mapping[str, Column], renamed: Mapping[str, str] | None = None) -> DataFrame:
+    """The latest row of each key in its silver ``columns``. Only ingested columns are shuffled; they
+    break ties in the silver order, in which columns made from them follow and so decide none."""
+    declared = SOURCES[source].schema.names
+    raw = [c for c in ((renamed or {}).get(name, name) for name in columns) if c in declared]
+    one_each = dedup_latest(bronze.select(*raw, "ingestion_timestamp"), SOURCES[source].key, "ingestion_timestamp")
+    return one_each.select(*named(columns))
+
+
 def keep_valid(df: DataFrame) -> DataFrame:
     """Rows whose quality flag says valid. Applied after deduplication: the
     kept copy of a key may be the invalid one, and then the key is dropped."""
@@ -196,7 +205,7 @@ def conform_crm(bronze: DataFrame) -> DataFrame:
         **_same("notes"),
         **_loaded(),
     }
-    return _latest(bronze.select(*named(columns)), "crm_interactions")
+    return _latest_shaped(bronze, "crm_interactions", columns)
 
 
 def conform_loyalty(bronze: DataFrame) -> DataFrame:
@@ -208,7 +217,7 @@ def conform_loyalty(bronze: DataFrame) -> DataFrame:
         **_same("points_balance", "tier", "description"),
         **_loaded(),
     }
-    return _latest(bronze.select(*named(columns)), "loyalty_events")
+    return _latest_shaped(bronze, "loyalty_events", columns)
 
 
 def conform_web(bronze: DataFrame) -> DataFrame:
@@ -228,7 +237,7 @@ def conform_web(bronze: DataFrame) -> DataFrame:
         "is_abandoned_cart": policies.ABANDONED_CART.column(),
         **_loaded(),
     }
-    return _latest(bronze.select(*named(columns)), "web_analytics")
+    return _latest_shaped(bronze, "web_analytics", columns, {"is_bounce": "bounce", "is_conversion": "conversion"})
 
 
 def conform_tickets(bronze: DataFrame) -> DataFrame:
@@ -243,4 +252,4 @@ def conform_tickets(bronze: DataFrame) -> DataFrame:
         "is_dissatisfied": policies.DISSATISFIED.column(),
         **_loaded(),
     }
-    return _latest(bronze.select(*named(columns)), "support_tickets")
+    return _latest_shaped(bronze, "support_tickets", columns)

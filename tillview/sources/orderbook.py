@@ -108,8 +108,23 @@ class OrderBook:
         """One row per order line; the order's hour comes from its key. Some lines have
         no customer or product or a negative amount, and two tenths of the products
         were last sold earlier."""
-        unit = (F.col("l_extendedprice").cast("decimal(14,2)") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY)
-        share = F.col("l_discount").cast("decimal(4,2)")
+        tenth = F.col("l_partkey") % 10
+        # what a line needs, as short as it gets, before the shuffle
+        sold = self.table("lineitem").select(
+            _text("l_orderkey").alias("transaction_id"),
+            (F.col("l_orderkey") % 97 != 0).alias("has_customer"),
+            F.when((F.col("l_orderkey") % 101 != 0) | (F.col("l_linenumber") != 2), F.col("l_partkey")).alias("part"),
+            F.when(tenth == 0, F.lit(400)).when(tenth == 1, F.lit(150)).otherwise(F.lit(0)).alias("days_early"),
+            F.col("l_quantity").cast("int").alias("pieces"),
+            (F.col("l_extendedprice").cast("decimal(14,2)") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY).alias("unit"),
+            F.col("l_discount").cast("decimal(4,2)").alias("share"),
+            ((F.col("l_orderkey") % 89 == 0) & (F.col("l_linenumber") == 1)).alias("refunded"),
+            "l_suppkey",
+            F.col("l_tax").cast("decimal(4,2)").alias("tax"),
+            "l_returnflag",
+            "l_shipdate",
+        )
+        unit, share = F.col("unit"), F.col("share")
         hours = F.make_dt_interval(F.lit(0), (F.col("o_orderkey") % 24).cast("int"))
         status = F.when(F.col("l_returnflag") == "R", "Returned").when(
             F.col("l_returnflag") == "A", "Cancelled"
@@ -121,30 +136,25 @@ class OrderBook:
             F.col("o_orderpriority") == "2-HIGH", "PayPal"
         )
         one = F.lit(1).cast("decimal(4,2)")
-        refunded = (F.col("l_orderkey") % 89 == 0) & (F.col("l_linenumber") == 1)
-        sign = F.when(refunded, F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
-        tenth = F.col("l_partkey") % 10
-        days = F.when(tenth == 0, F.lit(400)).when(tenth == 1, F.lit(150)).otherwise(F.lit(0))
-        early = F.make_dt_interval(days)
+        sign = F.when(F.col("refunded"), F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)")
+        early = F.make_dt_interval("days_early")
         # joined on the text that the lines are deduplicated by: one shuffle serves both
         ordered = self.table("orders").withColumn("order_id", _text("o_orderkey"))
         return (
-            self.table("lineitem")
-            .withColumn("transaction_id", _text("l_orderkey"))
-            .join(ordered, F.col("transaction_id") == F.col("order_id"), "left")
+            sold.join(ordered, F.col("transaction_id") == F.col("order_id"), "left")
             .select(
                 "transaction_id",
-                F.when(F.col("l_orderkey") % 97 != 0, _text("o_custkey")).alias("customer_id"),
-                F.when((F.col("l_orderkey") % 101 != 0) | (F.col("l_linenumber") != 2), _text("l_partkey")).alias("product_id"),
+                F.when(F.col("has_customer"), _text("o_custkey")).alias("customer_id"),
+                _text("part").alias("product_id"),
                 (F.col("o_orderdate") + hours - early).alias("transaction_date"),
-                (F.col("l_quantity").cast("int") - 1).alias("quantity"),
+                (F.col("pieces") - 1).alias("quantity"),
                 unit.alias("unit_price"),
                 (share * F.lit(100)).cast("decimal(9,4)").alias("discount_percent"),
                 (unit * (one - share) * sign).cast(MONEY).alias("total_amount"),
                 payment.otherwise("Debit Card").alias("payment_method"),
                 channel.otherwise("Mobile App").alias("channel"),
                 _text("l_suppkey").alias("store_id"),
-                F.col("l_tax").cast("decimal(4,2)").cast(MONEY).alias("shipping_cost"),
+                F.col("tax").cast(MONEY).alias("shipping_cost"),
                 status.otherwise("Completed").alias("order_status"),
                 F.col("l_shipdate").alias("ingestion_timestamp"),
             )

@@ -86,7 +86,8 @@ class TableStore:
             df = df.hint("rebalance", *keys)
         folder = self.folder(name)
         data = folder.new_folder()
-        df.write.format(self.format).partitionBy(*keys).save(f"{self.path(name)}/{data}")
+        writer = df.write.format(self.format).option("parquet.compression", "zstd")
+        writer.partitionBy(*keys).save(f"{self.path(name)}/{data}")
         # as it is read: every column nullable, those of partitions last
         fields = [*(f for f in df.schema if f.name not in keys), *(df.schema[k] for k in keys)]
         version = folder.commit(data, StructType([StructField(f.name, f.dataType) for f in fields]), keys)
