@@ -151,7 +151,7 @@ def test_lines_are_shortened_before_their_shuffle(spark, tmp_path):
         "89": ("5", "10", "1994-12-28 17:00:00", 1, D("10.0000"), D("-9.0000"), D("0.0500"), "Returned", "3"),
         "97": (None, "11", "1995-09-04 01:00:00", 0, D("2.5000"), D("2.5000"), D("0.0000"), "Cancelled", "3"),
         "101": (None, None, "None", 0, D("2.5000"), D("2.5000"), D("0.0000"), "Completed", "3"),
-        None: (None, "12", "None", None, None, None, None, "Completed", None),
+        None: (None, None, "None", None, None, None, None, "Completed", None),
     }
 
 
