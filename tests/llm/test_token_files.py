@@ -10,7 +10,7 @@ from tillview.llm import token_files
 from tillview.llm.queries import CHAT_VOCABULARY, REGISTRY
 from tillview.llm.shared import vocabulary
 from tillview.llm.simple8b import BITS, Frame, crc32_joined, decode, encode, frames
-from tillview.llm.token_files import ByteIds, documents_of, encoded, read_pieces, through_files, windows, write_tokens
+from tillview.llm.token_files import UNSURE, ByteIds, documents_of, encoded, read_pieces, through_files, windows, words_of, write_tokens
 
 CONTENT = vocabulary(CHAT_VOCABULARY)
 TOKENIZER = Tokenizer.from_str(CONTENT.decode())
@@ -88,6 +88,29 @@ def test_ids_are_the_tokenizers(text, window):
     assert np.frombuffer(b"".join(IDS(list(windows(text, window)))), "<u4").tolist() == ids_of(text)
 
 
+SURE = st.sampled_from(["a", "é", "ǆ", "the", "'s", "'ll", "'", "S", ",", "!", "_", "1", "23", " ", "  ", "\n", "\t", "\r\n"])
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.lists(SURE, max_size=12).map("".join), max_size=4))
+def test_words_are_the_tokenizers(texts):
+    assert not any(map(UNSURE.search, texts))
+    codes, distinct, stops = words_of(texts)
+    assert len(set(distinct)) == len(distinct)
+    cut = [[distinct[k] for k in codes[a:b]] for a, b in zip(stops, stops[1:], strict=False)]
+    shown = TOKENIZER.pre_tokenizer.pre_tokenize_str
+    assert cut == [[t[a:b] for _, (a, b) in shown(t)] for t in texts]
+
+
+def test_latin_texts_are_not_searched_for_words():
+    ids = ByteIds(CONTENT)
+    ids.tokenizer = None
+    texts = ["Hé, that's it!! word$$$ 555-0546%%%\n\n  more...\t", "", "a.b,\n"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == [ids_of(t) for t in texts]
+    with pytest.raises(AttributeError):
+        ids(["字 of another script"])
+
+
 def test_words_are_forgotten_in_two_generations(monkeypatch):
     monkeypatch.setattr(token_files, "WORDS", 30)
     ids = ByteIds(CONTENT)

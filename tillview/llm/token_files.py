@@ -7,9 +7,9 @@ and it commits whole tasks only, on any file system that Spark writes to. They a
 as binary files. Part and number of the frames give the order of documents; where a
 document starts among all ids is summed up from the frames.
 
-The texts' ids are those of their words, each encoded once per Python worker: the tokenizer
-never joins across a blank that follows something else than white space, nor letters and
-digits with the comma, stop or line feed behind them.
+The texts' ids are those of their words, each encoded once per Python worker. Texts of ASCII and
+Latin letters are cut into the tokenizer's own words by their bytes, many texts at once. Others
+are cut before blanks that follow something else than white space, across which it never joins.
 
 Null and empty texts have the end id alone. Null doc_ids come first, rows of one doc_id
 follow each other by a hash of their text, repeated rows are written each. Texts beyond a
@@ -23,8 +23,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import batched, chain
+from collections.abc import Callable, Iterator, Sequence
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +46,15 @@ WORDS, BATCH = 600_000, 10_000
 WINDOW = 1_000_000
 #: Characters of texts whose new words are learnt together.
 TOGETHER = 1_000_000
-#: Where words next to each other can't be told apart simply.
-CLOSE = ("\0", "\n ", "\n\n\n", ",,", "..", ",.", ".,")
 BORDER = re.compile(r"(?<=\S)(?= )")
 CUT = re.compile(r"\S(?= )")
 #: Letters below this are the same to Python and to the tokenizer, whatever Unicode version they know.
-OLD_LETTERS = "\u0250"
-#: What may stand alone between two borders.
-SIMPLE = ("\n", ",", ".")
+OLD_LETTERS = "\u0240"
+#: What may make a text's words other than by bytes: all but ASCII's signs and white space and these letters.
+UNSURE = re.compile(r"[^\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u023f]")
+SPACE, LETTER, DIGIT, SIGN = range(4)
+#: The kind of each byte of a text without those; letters beyond ASCII have bytes from 128 only.
+KINDS = np.array([SPACE if 9 <= k <= 13 or k == 32 else DIGIT if 48 <= k <= 57 else LETTER if k >= 128 or chr(k).isalpha() else SIGN for k in range(256)], np.uint8)
 
 
 class ByteIds:
@@ -64,83 +65,103 @@ class ByteIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer.decode())
-        self.tokenizer.model._resize_cache(0)  # words come once
-        tokens, added = self.tokenizer.get_vocab(), {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
-        self.sizes = np.zeros(max(tokens.values()) + 1, np.int64)  # in bytes; a letter of a token stands for one
-        for token, k in tokens.items():
-            self.sizes[k] = len(token.encode() if token in added else token)
-        # simple words; None for those whose borders depend on their neighbours; others after "\0"
-        self.known: dict[str, bytes | None] = {"": b""}
-        self.before: dict[str, bytes | None] = {}
-
-    def _learn_plain(self, words: list[str], lead: str = "") -> list[str]:
-        """Words of letters that begin with a blank, or with nothing where ``lead`` is a line feed,
-        encoded as one text; returns those it could not tell apart."""
-        text = lead + lead.join(words)
-        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        data = text.encode()
-        ends = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) == ord(lead or " "))[1:], len(data))
-        upto = np.cumsum(self.sizes[ids])
-        cuts = np.searchsorted(upto, ends)
-        if len(ends) != len(words) or cuts[-1] >= len(ids) or (upto[cuts] != ends).any():
-            return words
-        whole, stops = ids.tobytes(), (4 * (cuts + 1)).tolist()
-        starts = [4 * len(lead) + k for k in (0, *stops[:-1])]  # a line feed is one token
-        self.known.update(zip(words, (whole[a:b] for a, b in zip(starts, stops, strict=True)), strict=True))
-        return []
-
-    def _learn(self, words: set[str]) -> None:
+        self.model = self.tokenizer.model
+        self.model._resize_cache(0)  # words come once
+        shown = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {k: shown(chr(k))[0][0] for k in range(ord(OLD_LETTERS))}  # as the vocabulary writes them
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # words, with their ids when encoded alone
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _learn_words(self, words: Sequence[str]) -> None:
+        """Words as the tokenizer cuts them: its model gets them as they are, without the search for
+        words in a text."""
+        tokenize, blank, letters = self.model.tokenize, self.letters[ord(" ")], self.letters
+        ids: list[int] = []
+        ends = [0]
+        for word in words:
+            shown = word.replace(" ", blank) if word.isascii() and word.isprintable() else word.translate(letters)
+            ids += [token.id for token in tokenize(shown)]
+            ends.append(4 * len(ids))
+        whole = np.array(ids, "<u4").tobytes()
+        self.known.update(zip(words, (whole[a:b] for a, b in pairwise(ends)), strict=True))
+
+    def _learn_pieces(self, pieces: Sequence[str]) -> None:
+        """Pieces of texts that may hold more than a word."""
+        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(list(pieces), add_special_tokens=False), strict=True):
+            self.known[piece] = np.array(found.ids, "<u4").tobytes()
+
+    def _learn(self, words: set[str], learn: Callable[[Sequence[str]], None]) -> None:
         if len(self.known) + len(words) > WORDS:
-            self.before, self.known = self.known, {"": b""}
-        led, bare, rest = [], [], []
-        for word in words.difference(self.known):
-            if word in self.before:
-                self.known[word] = self.before[word]
-                continue
-            letters = word[1:] if word[0] == " " else word
-            if letters.isalpha() and (word.isascii() or max(word) < OLD_LETTERS):
-                (led if word[0] == " " else bare).append(word)
-            elif word[0] == "\0" or word in SIMPLE or (word[-1].isalnum() and word[-1] < OLD_LETTERS and not letters[0].isspace()):
-                rest.append(word)
-            else:
-                self.known[word] = None
-        for plain, lead in ((led, ""), (bare, "\n")):
-            for part in batched(plain, BATCH):
-                rest += self._learn_plain(list(part), lead)
-        for part in batched(rest, BATCH):
-            texts = [w.removeprefix("\0") for w in part]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-
-    def _joined(self, words: list[list[str]]) -> list[bytes | None]:
-        """The ids of texts from their words; None where a word's border is not sure."""
-        distinct = set().union(*words)
-        self._learn(distinct)
-        out: list[bytes | None] = []
-        for own in words:
-            try:
-                out.append(b"".join(map(self.known.__getitem__, own)))
-            except TypeError:  # None among them
-                out.append(None)
-        return out
+            self.before, self.known = self.known, {}
+        new = words.difference(self.known)
+        old = new.intersection(self.before)
+        self.known.update((word, self.before[word]) for word in old)
+        for part in batched(new - old, BATCH):
+            learn(part)
+
+    def _of_sure(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that ``UNSURE`` is not found in."""
+        codes, distinct, stops = words_of(texts)
+        self._learn(set(distinct), self._learn_words)
+        own = list(map(self.known.__getitem__, distinct))
+        flat = np.frombuffer(b"".join(own), "<u4")
+        sizes = np.fromiter(map(len, own), np.int32, len(own)) // 4
+        lengths = sizes[codes]
+        ends = np.cumsum(lengths)
+        shifts = (np.cumsum(sizes) - sizes)[codes] - ends + lengths
+        ids = flat[np.repeat(shifts, lengths) + np.arange(lengths.sum())]
+        borders = np.append(0, ends)[stops].tolist()
+        return [ids[a:b].tobytes() for a, b in pairwise(borders)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        simple = [k for k, t in enumerate(texts) if not t.endswith("\n\n") and not any(c in t for c in CLOSE)]
-        parts = lambda t: t.replace(" ", "\0 ").replace("\n", "\0\n\0").replace(",", "\0,").replace(".", "\0.").split("\0")
-        found = dict(zip(simple, self._joined([parts(texts[k]) for k in simple]), strict=True))
-        marked = [k for k, t in enumerate(texts) if "\0" in t]
-        for k, ids in zip(marked, self.tokenizer.encode_batch_fast([texts[k] for k in marked], add_special_tokens=False), strict=True):
-            found[k] = np.array(ids.ids, "<u4").tobytes()
-        others = [k for k in range(len(texts)) if found.get(k) is None]
-        words = [BORDER.split(texts[k]) for k in others]
-        distinct = set().union(*words)
-        self._learn(distinct)
-        unsure = {w for w in distinct if self.known[w] is None}
-        found.update(zip(others, self._joined([["\0" + w if w in unsure else w for w in own] for own in words]), strict=True))
+        sure = [k for k, t in enumerate(texts) if not UNSURE.search(t) and not any(c in t for c in self.added)]
+        found = dict(zip(sure, self._of_sure([texts[k] for k in sure]), strict=True))
+        others = [k for k in range(len(texts)) if k not in found]
+        pieces = [BORDER.split(texts[k]) for k in others]
+        self._learn(set().union(*pieces), self._learn_pieces)
+        found.update((k, b"".join(map(self.known.__getitem__, own))) for k, own in zip(others, pieces, strict=True))
         return [found[k] for k in range(len(texts))]
 
 
+def words_of(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """The words that a byte-level tokenizer cuts texts into that ``UNSURE`` is not found in: for each word
+    its number among the distinct ones, these, and how many words there are before each text and after
+    the last.
+
+    A word is a run of letters, of digits or of other signs, with one blank before it; or a short form
+    behind an apostrophe; or white space, whose last character goes its own way before a word."""
+    coded = [t.encode() for t in texts]
+    data = b"".join(coded)
+    letters = np.frombuffer(data, np.uint8)
+    borders = np.cumsum([0, *map(len, coded)])
+    kinds = KINDS[letters]
+    space = kinds == SPACE
+    new = np.ones(len(letters) + 1, bool)
+    new[1:-1] = (kinds[1:] != kinds[:-1]) & (letters[:-1] != ord(" "))  # a blank's follower is no start
+    new[:-1] |= space
+    inner = np.zeros(len(letters) + 1, bool)
+    inner[1:-1] = space[1:] & space[:-1]
+    inner[borders] = False
+    before_word = np.zeros(len(letters) + 1, bool)
+    before_word[:-2] = ~space[1:]
+    before_word[borders[1:] - 1] = False
+    new &= ~inner | before_word
+    new[borders] = True
+    quotes = np.flatnonzero(new[:-1] & (letters == ord("'")))
+    if len(quotes):
+        left = borders[np.searchsorted(borders, quotes, "right")] - quotes
+        for k, forms in ((2, (b"s", b"t", b"m", b"d")), (3, (b"re", b"ve", b"ll"))):
+            here = quotes[left >= k]
+            short = here[[data[q + 1 : q + k] in forms for q in here.tolist()]] if len(here) else here
+            new[short + 1] = False
+            new[short + k] = True
+    offsets = np.flatnonzero(new).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist(), np.searchsorted(offsets, borders)
+
+
 def windows(text: str, size: int = WINDOW) -> Iterator[str]:
     """A text in parts that are encoded like the whole, cut before blanks behind something else."""
     begin = 0
