@@ -61,7 +61,7 @@ def medallion(spark: SparkSession, folder: str) -> Medallion:
     if key not in _runs:
         book = OrderBook(spark, folder)
         store = TableStore(spark, staging_path(spark, "layers"))
-        _runs[key] = Medallion(store, AS_OF, book.bronze().__getitem__, key_tables=book.key_tables())
+        _runs[key] = Medallion(store, AS_OF, book.bronze().__getitem__, key_tables=book.key_tables(), lie_by_transaction=True)
     return _runs[key]
 
 
@@ -162,6 +162,7 @@ def conform_transactions(spark, folder):
         silver(spark, folder, "customers"),
         silver(spark, folder, "products"),
         book.key_tables(),
+        lie_by_transaction=True,
     )
 
 

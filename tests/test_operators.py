@@ -6,9 +6,9 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from tillview.operators import conform, customer_view, features, lifetime, profile, ranks, rfm, sales, segments
+from tillview.operators import conform, customer_view, enrich, features, lifetime, profile, ranks, rfm, sales, segments
 from tillview.operators.dedup import dedup_latest, latest_value_per_key
-from tillview.operators.enrich import hot_keys, left_join_salted
+from tillview.operators.enrich import hot_keys, left_join_in_place, left_join_salted
 from tillview.operators.profile import customer_profile
 from tillview.operators.ranks import share_rank, values_at
 from tillview.sources.schemas import SOURCES
@@ -106,6 +106,46 @@ def test_salted_join_equals_plain_join_with_a_hot_key_and_nulls(spark):
     assert plain.select(*columns).exceptAll(salted.select(*columns)).isEmpty()
 
 
+def _placed(spark):
+    """Facts as a join on ``t`` leaves them: NULLs, a hot key, keys without a dimension row, copies."""
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 50 != 0, F.concat(F.lit("t"), F.col("id") % 700)).alias("t"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        (F.col("id") % 2900).alias("paid"),
+    )
+    right = spark.range(600).select(F.concat(F.lit("t"), "id").alias("o"), F.col("id").alias("ordered"))
+    return left.join(right, F.col("t") == F.col("o"), "left").drop("o")
+
+
+def test_join_in_place_equals_plain_join(spark):
+    facts = _placed(spark)
+    dim = spark.createDataFrame([("hot", 1, None), *[(f"k{i}", i, "x") for i in range(0, 400)]], "k string, x int, y string")
+    pairs = facts.select("t", "k").unionByName(spark.createDataFrame([("t1", "k5"), (None, "hot"), ("none", "k6")], "t string, k string"))
+    columns = ["t", "k", "paid", "ordered", "x", "y"]
+    plain = sorted(map(str, facts.join(dim, "k", "left").select(*columns).collect()))
+    for some in (pairs, pairs.distinct()):
+        got = left_join_in_place(facts, dim, "k", hot_keys(facts, "k", share=0.01), some, "t", salts=8)
+        assert sorted(map(str, got.select(*columns).collect())) == plain
+
+
+def test_join_in_place_does_not_move_the_facts(spark, monkeypatch):
+    """No shuffle above the facts' own join, for either dimension of the lines."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(enrich, "LARGE", 0)
+        ordered = spark.range(9).select(F.col("id").cast("string").alias("transaction_id"), F.lit("c").alias("customer_id"))
+        sold = bronze(spark, "transactions", transaction_id="1", product_id="p", quantity=1, total_amount=Decimal(1)).drop("customer_id")
+        customers = spark.createDataFrame([("c", "Gold", "TX")], "customer_id string, customer_segment string, state string")
+        products = spark.createDataFrame([("p", "A", "B", Decimal(1))], "product_id string, category string, brand string, cost decimal(18,4)")
+        out = conform.conform_transactions(sold.join(ordered, "transaction_id", "left"), customers, products, lie_by_transaction=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Union\n") == 2 and plan.index("Union\n") < plan.index("SortMergeJoin") < plan.index("Exchange")
+        row = one(out)
+        assert (row["customer_state"], row["product_brand"], row["gross_profit"]) == ("TX", "B", 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_rows_are_spread(spark):
     facts = spark.range(4000).select("id", F.lit("hot").alias("k"))
     salt = F.pmod(F.xxhash64("id"), F.lit(8))

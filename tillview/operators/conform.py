@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tillview.functions import policies
 from tillview.functions.measures import days_until, named, tidy
 from tillview.operators.dedup import dedup_latest
-from tillview.operators.enrich import hot_keys, left_join_salted
+from tillview.operators import enrich
+from tillview.operators.enrich import hot_keys, left_join_in_place, left_join_salted
 from tillview.sources.schemas import SOURCES
 
 LOADED = "bronze_ingestion_timestamp"
@@ -127,21 +128,34 @@ def enrich_transactions(
     products: DataFrame,
     keys_from: Mapping[str, DataFrame],
     salts: int = 64,
+    lie_by_transaction: bool = False,
 ) -> DataFrame:
     """Adds the dimension columns of silver customers and products.
 
     ``keys_from`` names, per join key, a stored table in which hot keys are
-    looked for on a scan of the key column alone."""
+    looked for on a scan of the key column alone. Where ``lie_by_transaction`` says that the
+    lines come hash-partitioned by ``transaction_id``, dimensions of more than ``enrich.LARGE``
+    rows are joined without moving the lines, whose plan then runs once more for each
+    from the shuffle it ends with. The dimensions are counted for it (jobs) and
+    should be stored tables."""
     joins = (
-        (customers, "customer_id", {"customer_segment": "customer_segment", "state": "customer_state"}),
         (products, "product_id", {"category": "product_category", "brand": "product_brand", "cost": "cost"}),
+        (customers, "customer_id", {"customer_segment": "customer_segment", "state": "customer_state"}),
     )
-    spread_by = SOURCES["transactions"].key
+    line, by = SOURCES["transactions"].key, "transaction_id"
+    lines, moved = flagged, []
     for dim, key, columns in joins:
         wanted = dim.select(key, *[F.col(old).alias(new) for old, new in columns.items()])
         hot = hot_keys(keys_from[key], key)
-        flagged = left_join_salted(flagged, wanted, key, hot, spread_by, salts)
-    return flagged
+        if not lie_by_transaction or dim.count() <= enrich.LARGE:
+            moved.append((wanted, key, hot))
+            continue
+        # a line's own key comes once; lines of a transaction share others
+        pairs = flagged.select(by, key) if {by, key} == set(line) else flagged.select(by, key).distinct()
+        lines = left_join_in_place(lines, wanted, key, hot, pairs, by, salts)
+    for wanted, key, hot in reversed(moved):
+        lines = left_join_salted(lines, wanted, key, hot, line, salts)
+    return lines
 
 
 def conform_flagged(
@@ -150,11 +164,12 @@ def conform_flagged(
     products: DataFrame,
     keys_from: Mapping[str, DataFrame],
     salts: int = 64,
+    lie_by_transaction: bool = False,
 ) -> DataFrame:
     """The silver lines from deduplicated, flagged ones; what they leave out is
     :func:`rejected`."""
     lines = keep_valid(flagged)
-    return shape_transactions(enrich_transactions(lines, customers, products, keys_from, salts))
+    return shape_transactions(enrich_transactions(lines, customers, products, keys_from, salts, lie_by_transaction))
 
 
 def conform_transactions(
@@ -163,13 +178,15 @@ def conform_transactions(
     products: DataFrame,
     keys_from: Mapping[str, DataFrame] | None = None,
     salts: int = 64,
+    lie_by_transaction: bool = False,
 ) -> DataFrame:
     """The valid transaction lines with their dimensions.
 
     One row is one (transaction, product); counts of ``transaction_id`` on
-    this table therefore count order lines."""
+    this table therefore count order lines. ``lie_by_transaction`` says that ``bronze`` comes
+    hash-partitioned by ``transaction_id``, see :func:`enrich_transactions`."""
     keys_from = keys_from or {"customer_id": bronze, "product_id": bronze}
-    return conform_flagged(flag_transactions(bronze), customers, products, keys_from, salts)
+    return conform_flagged(flag_transactions(bronze), customers, products, keys_from, salts, lie_by_transaction)
 
 
 def shape_transactions(lines: DataFrame) -> DataFrame:

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SALT, HOT = "_salt", "_hot"
+FACT, FOUND = "_fact", "_found"
 
 
 # Tasks that merge the scan tasks' sketches before one task merges theirs.
 MERGERS = 64
+#: Rows beyond which a dimension is taken to be too large for Spark to broadcast. Stored ones of
+#: this repository pass Spark's own 10 MB at 1.5 (customers) and 2.2 million rows (products).
+LARGE = 1_500_000
 
 
 def hot_keys(facts: DataFrame, key: str, share: float = 0.001) -> DataFrame:
@@ -64,3 +68,31 @@ def left_join_salted(
         .drop(HOT)
     )
     return salted_facts.join(salted_dim, [key, SALT], "left").drop(SALT)
+
+
+def left_join_in_place(
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    hot: DataFrame,
+    pairs: DataFrame,
+    by: str,
+    salts: int = 64,
+) -> DataFrame:
+    """``facts`` left join a large ``dim`` on ``key`` without moving the facts.
+
+    ``facts`` should be hash-partitioned by the column ``by`` alone, as a join on it leaves them;
+    on others Spark adds a shuffle, and the result is the same. The dimension meets only
+    ``pairs`` of ``by`` and key (:func:`left_join_salted`), and what it has is sent back to where
+    the facts are, as rows beside them; a window over ``by`` and the key hands it to the facts.
+    So two narrow rows per pair are shuffled instead of a whole fact. ``pairs`` must hold
+    those of all facts, with a key; copies and pairs that no fact has do no harm.
+    ``dim`` must be unique on ``key``.
+    """
+    values = [c for c in dim.columns if c != key]
+    found = left_join_salted(pairs.select(by, key), dim, key, hot, [by], salts).repartition(by)
+    rest = [c for c in facts.columns if c not in (by, key)]
+    packed = facts.select(by, key, F.struct(*rest).alias(FACT))
+    beside = packed.unionByName(found.select(by, key, F.struct(*values).alias(FOUND)), allowMissingColumns=True)
+    met = beside.withColumn(FOUND, F.max(FOUND).over(Window.partitionBy(by, key))).filter(F.col(FACT).isNotNull())
+    return met.select(by, key, f"{FACT}.*", *[F.col(f"{FOUND}.{c}").alias(c) for c in values])

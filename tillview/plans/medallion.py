@@ -72,7 +72,8 @@ class Medallion:
     """Silver and gold tables over a store, built on first use.
 
     ``bronze`` gives the ingested table of a source. ``key_tables`` optionally
-    names cheaper places to look for the hot join keys of the transactions.
+    names cheaper places to look for the hot join keys of the transactions, and
+    ``lie_by_transaction`` says that these come hash-partitioned by transaction id.
     """
 
     store: TableStore
@@ -80,6 +81,7 @@ class Medallion:
     bronze: Callable[[str], DataFrame]
     load_ts: datetime | None = None
     key_tables: Mapping[str, DataFrame] | None = None
+    lie_by_transaction: bool = False
     _built: dict[str, DataFrame] = field(default_factory=dict)
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
@@ -113,6 +115,8 @@ class Medallion:
                 self.table("products_silver"),
                 self.key_tables
                 or dict.fromkeys(("customer_id", "product_id"), self.bronze("transactions")),
+                # a stored table no longer lies as the plan that wrote it
+                lie_by_transaction=self.lie_by_transaction and "_flagged" not in self._built,
             ),
             "transactions_quarantine_silver": lambda: conform.rejected(self._flagged()),
             "crm_interactions_silver": lambda: conform.conform_crm(self.bronze("crm_interactions")),
