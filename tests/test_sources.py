@@ -2,6 +2,7 @@
 
 import subprocess
 import sys
+import time
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -21,7 +22,7 @@ from tillview.sources.commits import TableFolder, VersionMissing
 from tillview.sources.csv import REJECTED, rejected_rows, scan_csv, scan_csv_inferred
 from tillview.sources.orderbook import OrderBook
 from tillview.sources.schemas import SOURCES
-from tillview.sources.staging import stage, staging_root
+from tillview.sources.staging import DROP_SHUFFLES, shuffles_dropped, stage, staging_root
 from tillview.sources.tables import NotOurTable, TableMissing, TableStore, layer_summary
 
 LOADED = datetime(2024, 7, 1, 2, 3, 4)
@@ -134,6 +135,37 @@ def test_lines_are_shuffled_once_before_the_dimensions(spark, tmp_path):
     assert run.table("transactions_quarantine_silver").count() == 2 and "_flagged" not in run._built
 
 
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    def kept():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().endswith(".data")}
+
+    before, moved = kept(), spark.range(1000).repartition(5, "id")
+    assert len(stage(moved, "moved").collect()) == 1000
+    assert len(TableStore(spark, str(tmp_path)).write(moved, "moved_silver").collect()) == 1000
+    for _ in range(100):  # files are deleted in the background
+        if kept() <= before:
+            break
+        time.sleep(0.1)
+    assert kept() <= before
+
+
+def test_a_session_gets_its_shuffle_setting_back(spark):
+    assert spark.conf.get(DROP_SHUFFLES, None) is None
+    for own in ("false", None):
+        with pytest.raises(ZeroDivisionError), shuffles_dropped(spark), shuffles_dropped(spark):
+            if own:
+                raise ZeroDivisionError
+            assert spark.conf.get(DROP_SHUFFLES) == "true"
+            1 / 0
+        assert spark.conf.get(DROP_SHUFFLES, None) is None
+    spark.conf.set(DROP_SHUFFLES, "false")
+    with shuffles_dropped(spark):
+        assert spark.conf.get(DROP_SHUFFLES) == "true"
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
+    spark.conf.unset(DROP_SHUFFLES)
+
+
 def test_lines_are_shortened_before_their_shuffle(spark, tmp_path):
     """The order's key travels once, as the text that is joined on; amounts as decimals."""
     day = datetime(1996, 2, 1)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tillview.sources.commits import TableFolder, Version
+from tillview.sources.staging import shuffles_dropped
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -87,7 +88,8 @@ class TableStore:
         folder = self.folder(name)
         data = folder.new_folder()
         writer = df.write.format(self.format).option("parquet.compression", "zstd")
-        writer.partitionBy(*keys).save(f"{self.path(name)}/{data}")
+        with shuffles_dropped(self.spark):
+            writer.partitionBy(*keys).save(f"{self.path(name)}/{data}")
         # as it is read: every column nullable, those of partitions last
         fields = [*(f for f in df.schema if f.name not in keys), *(df.schema[k] for k in keys)]
         version = folder.commit(data, StructType([StructField(f.name, f.dataType) for f in fields]), keys)
